@@ -48,4 +48,4 @@ def point_violation(point: ColumnOrName, srid: int = SRID) -> Column:
 def lonlat_warning(point: ColumnOrName) -> Column:
     """Coordinates inside +/-180 / +/-90 look like degrees, not metres of the projection."""
     p = _c(point)
-    return p.isNotNull() & (F.abs(p["x"]) <= 180) & (F.abs(p["y"]) <= 90)
+    return F.coalesce(p.isNotNull() & (F.abs(p["x"]) <= 180) & (F.abs(p["y"]) <= 90), F.lit(False))

@@ -118,13 +118,16 @@ def section_length_check(sections: DataFrame, transect_keys: Sequence[str], sect
     )
 
 
-def model_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q1-Q4 for every given model table: ``(tbl, check, n)`` violation counts.
+def model_checks(tables: dict[str, DataFrame], only: Sequence[str] | None = None) -> DataFrame:
+    """Q1-Q4 for the model tables named in ``only`` (default all given):
+    ``(tbl, check, n)`` violation counts, one row per check.
 
     Foreign keys are checked only where the parent is among ``tables``.
     """
     out = None
     for name, df in tables.items():
+        if only is not None and name not in only:
+            continue
         spec = MODEL[name]
         parts = []
         if spec.primary_key:

@@ -89,37 +89,46 @@ class Store:
     # -- manifest ----------------------------------------------------------
     def _versions(self) -> DataFrame | None:
         try:
-            m = self.spark.read.schema(MANIFEST_SCHEMA + ", version long").parquet(self._path("_manifest"))
+            return self.spark.read.schema(MANIFEST_SCHEMA + ", version long").parquet(self._path("_manifest"))
         except Exception:  # no manifest yet
             return None
-        return m if m.take(1) else None
 
     def manifest(self) -> list[dict]:
         """Current (tbl, bms_id, load_id, high_water) entries: a handful of
-        rows per scheme, the only data the driver holds."""
+        rows per scheme, the only data the driver holds. The latest version
+        is found from the partition values alone and read with pruning."""
         m = self._versions()
         if m is None:
             return []
         last = m.agg(F.max("version")).first()[0]
+        if last is None:
+            return []
         return [r.asDict() for r in m.where(F.col("version") == last).drop("version").collect()]
 
     def _write_manifest(self, entries: list[dict]) -> None:
         m = self._versions()
-        version = 0 if m is None else m.agg(F.max("version")).first()[0] + 1
+        last = None if m is None else m.agg(F.max("version")).first()[0]
+        version = 0 if last is None else last + 1
         rows = [(e["tbl"], e["bms_id"], e["load_id"], int(e["high_water"])) for e in entries]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).withColumn("version", F.lit(version))
         df.coalesce(1).write.mode("append").partitionBy("version").parquet(self._path("_manifest"))
 
-    def high_water(self, table: str) -> int:
-        marks = [e["high_water"] for e in self.manifest() if e["tbl"] == table]
+    @staticmethod
+    def _hw(entries: list[dict], table: str) -> int:
+        marks = [e["high_water"] for e in entries if e["tbl"] == table]
         return max(marks) if marks else 0
 
+    def high_water(self, table: str) -> int:
+        """The sequence mark of a table: new ids start above it."""
+        return self._hw(self.manifest(), table)
+
     # -- reads -------------------------------------------------------------
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, entries: list[dict] | None = None) -> DataFrame:
         """The current rows of a model table (``bms_id`` kept as a column for
         scheme-scoped tables that do not declare it)."""
         spec = MODEL[name]
-        current = [(e["bms_id"], e["load_id"]) for e in self.manifest() if e["tbl"] == name]
+        entries = self.manifest() if entries is None else entries
+        current = [(e["bms_id"], e["load_id"]) for e in entries if e["tbl"] == name]
         empty = self.spark.createDataFrame([], spec.schema)
         if not current:
             return empty if "bms_id" in spec.schema.names or not spec.scheme_scoped else empty.withColumn(
@@ -168,16 +177,16 @@ class Store:
             (out.select(*cols).write.mode("append").partitionBy("bms_id", "load_id").parquet(self._path(name)))
             written[name] = (self.spark.read.schema(self._read_schema(name)).parquet(self._path(name))
                              .where(F.col("load_id") == F.lit(load_id)).drop("load_id"))
-        if check:
-            self._check(scheme_ids, written)
         entries = self.manifest()
+        if check:
+            self._check(written, entries)
         hw = {}
         for name, df in written.items():
             serial = MODEL[name].serial
             if serial:
                 top = df.agg(F.max(serial)).first()[0]
-                hw[name] = max(self.high_water(name), int(top or 0))
-        keep = [e for e in entries if not (e["tbl"] in written and e["bms_id"] in scheme_ids)]
+                hw[name] = max(self._hw(entries, name), int(top or 0))
+        keep = [dict(e) for e in entries if not (e["tbl"] in written and e["bms_id"] in scheme_ids)]
         for e in keep:
             if e["tbl"] in hw:
                 e["high_water"] = hw[e["tbl"]]
@@ -186,20 +195,20 @@ class Store:
             ids = scheme_ids if MODEL[name].scheme_scoped else [GLOBAL]
             for s in ids:
                 new.append({"tbl": name, "bms_id": s, "load_id": load_id,
-                            "high_water": hw.get(name, self.high_water(name))})
+                            "high_water": hw.get(name, self._hw(entries, name))})
         self._write_manifest(keep + new)
         return load_id
 
-    def _check(self, scheme_ids: list[str], written: dict[str, DataFrame]) -> None:
-        tables = dict(written)
-        for parent in ("b_species_id", "bms_detail", "b_recorder", "m_site", "m_visit"):
-            if parent not in tables and self.manifest():
-                if any(e["tbl"] == parent for e in self.manifest()):
-                    tables[parent] = self.table(parent)
-        checked = {k: v for k, v in tables.items() if k in written}
-        parents_only = {k: v for k, v in tables.items() if k not in written}
-        res = model_checks({**checked, **parents_only})
-        bad = res.where((F.col("n") > 0) & F.col("tbl").isin(*written.keys())).collect()
+    def _check(self, written: dict[str, DataFrame], entries: list[dict]) -> None:
+        """Q1-Q4 on the new rows; references checked against new rows of the
+        same load or the currently published parents."""
+        parents = {}
+        for name in written:
+            for fk in MODEL[name].foreign_keys:
+                if fk.parent not in written and any(e["tbl"] == fk.parent for e in entries):
+                    parents[fk.parent] = self.table(fk.parent, entries)
+        res = model_checks({**written, **parents}, only=list(written))
+        bad = res.where(F.col("n") > 0).collect()
         if bad:
             raise PublishError("load refused: " + ", ".join(f"{r['tbl']}.{r['check']}={r['n']}" for r in bad))
 
