@@ -118,3 +118,19 @@ def test_stage(spark, tmp_path):
     p = P.stage(df, str(tmp_path), "uk_site")
     P.stage(spark.range(5), str(tmp_path), "uk_site")
     assert spark.read.parquet(p).count() == 5
+
+
+def test_cascade_to_children_not_reloaded(spark, store):
+    st, f = store
+    st.replace_schemes(["AA", "BB"], _load(spark, _clean_counts(f)))
+    hab = st.table("m_site").select("site_id", "bms_id").withColumn("year_stamp", F.lit(None).cast("date"))
+    st.replace_schemes(["AA", "BB"], {"m_site_habitat": hab})
+    assert st.table("m_site_habitat").count() == 8
+    marks = {t: st.high_water(t) for t in ("m_site",)}
+    from wingspan.plans import load as L2
+    sites = L2.site_dim(f["sites"].where("bms_id = 'AA'"), f["schemes"], None, marks["m_site"])
+    st.replace_schemes(["AA"], {"m_site": sites})
+    assert st.last_cascade["m_site_habitat"] == 7
+    assert st.table("m_site_habitat").where("bms_id = 'AA'").count() == 0
+    assert st.table("m_site_habitat").where("bms_id = 'BB'").count() == 1
+    assert st.table("b_count").where("bms_id = 'AA'").count() == 0    # counts referenced the old sites

@@ -56,10 +56,16 @@ def by_position(df: DataFrame, table: str) -> DataFrame:
     return conform(df.toDF(*names), table)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast a side only after counting it: bounded by ``max_rows``,
-    otherwise the planner's shuffle join (and AQE) takes over."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+DIM_BROADCAST_ROWS = 2_000_000  # a key-only dimension row is ~30 bytes: at most ~60 MB per executor
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a (narrow) dimension only after counting it: bounded by
+    ``max_rows``; beyond that the planner's shuffle join (with AQE skew
+    splitting) takes over. Counting a frame read back from the checkpoint
+    folder costs only file metadata."""
+    limit = int(df.sparkSession.conf.get("spark.wingspan.dimBroadcastRows", str(max_rows)))
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 # --- C1 -----------------------------------------------------------------------
@@ -154,7 +160,8 @@ def visit_fact(visits: DataFrame, recorders: DataFrame, schemes: DataFrame, sche
     r = recorders
     if scheme_id is not None:
         r = r.where(F.col("bms_id") == F.lit(scheme_id))
-    r = r.select(F.col("bms_id").alias("__rb"), F.col("bms_observer_id").alias("__ro"), "recorder_id")
+    r = broadcast_if_small(r.select(F.col("bms_id").alias("__rb"), F.col("bms_observer_id").alias("__ro"),
+                                    "recorder_id"))
     j = first.join(r, (first["bms_id"] == r["__rb"])
                    & (first["bms_observer_id"].try_cast("int") == r["__ro"].try_cast("int")), "left")
 
@@ -196,7 +203,8 @@ def count_fact(counts: DataFrame, visits: DataFrame, sites: DataFrame, scheme_id
         if "bms_id" not in counts.columns:
             counts = counts.withColumn("bms_id", F.lit(scheme_id))
     v = visits.select(F.col("bms_id").alias("__vb"), F.col("bms_visit_id").alias("__vk"), "visit_id")
-    s = sites.select(F.col("bms_id").alias("__sb"), F.col("bms_site_id").alias("__sk"), "site_id")
+    s = broadcast_if_small(sites.select(F.col("bms_id").alias("__sb"), F.col("bms_site_id").alias("__sk"),
+                                        "site_id"))
     j = counts.join(v, (counts["bms_id"] == v["__vb"]) & (counts["bms_visit_id"] == v["__vk"]))
     j = j.join(s, (j["bms_id"] == s["__sb"]) & (j["bms_site_id"] == s["__sk"]))
     shaped = j.select(

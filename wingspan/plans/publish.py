@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wingspan.operators.quality import model_checks
-from wingspan.plans.model import MODEL
+from wingspan.plans.load import conform
+from wingspan.plans.model import MODEL, foreign_key_edges
 
 GLOBAL = "__all__"  # bms_id partition value for tables that are not scheme-scoped
 
@@ -82,6 +83,7 @@ class Store:
 
     spark: SparkSession
     root: str
+    last_cascade: dict | None = None  # rows removed by cascade in the last replacement, per table
 
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -162,14 +164,30 @@ class Store:
         Rows are appended under a new load id, checked (keys, NOT NULL,
         lengths, references among the loaded tables plus the published
         species), and only then made current. Frames for a scheme may be
-        empty: that scheme then has no rows in that table. Cascade: a scheme's
-        rows in scheme-scoped tables not in ``frames`` stay untouched, except
-        that tables whose parent rows were replaced are listed in the audit.
+        empty: that scheme then has no rows in that table. Cascade: a
+        scheme-scoped table that references a replaced table and is not
+        itself in ``frames`` loses the scheme's rows, counted in
+        ``last_cascade``; other schemes are never touched.
         """
         load_id = uuid.uuid4().hex[:16]
+        frames = dict(frames)
+        before = self.manifest()
+        self.last_cascade = {}
+        # ON DELETE CASCADE: scheme-scoped children of replaced tables that the
+        # load does not rewrite lose the scheme's rows (their parents change ids).
+        changed = True
+        while changed:
+            changed = False
+            for child, fk in foreign_key_edges():
+                if fk.parent in frames and child not in frames and MODEL[child].scheme_scoped:
+                    old = self.table(child, before).where(F.col("bms_id").isin(*scheme_ids))
+                    self.last_cascade[child] = old.count() if any(e["tbl"] == child for e in before) else 0
+                    frames[child] = self.spark.createDataFrame([], MODEL[child].schema)
+                    changed = True
         written: dict[str, DataFrame] = {}
         for name, df in frames.items():
             spec = MODEL[name]
+            df = conform(df, name)
             b = F.col("bms_id") if "bms_id" in df.columns else F.lit(GLOBAL)
             out = df.withColumn("bms_id", b).withColumn("load_id", F.lit(load_id))
             out = out.where(F.col("bms_id").isin(*scheme_ids)) if spec.scheme_scoped else out
