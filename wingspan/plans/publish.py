@@ -4,13 +4,14 @@ snapshots and statistics.
 
 Layout of a store root::
 
-    <root>/<table>/bms_id=<scheme>/load_id=<load>/part-*.parquet
-    <root>/_manifest/version=<n>/part-*.parquet   (tbl, bms_id, load_id, high_water)
+    <root>/<table>/load_id=<load>/bms_id=<scheme>/part-*.parquet
+    <root>/_manifest/version=<n>/part-*.parquet   (tbl, bms_id, load_id, rows, high_water)
 
 A load appends its rows under a new ``load_id`` and only then, after every
 check passed, writes a new manifest version naming that load as current for
-its schemes. Readers filter on the current (scheme, load) pairs, which Spark
-turns into partition pruning. Replacing a scheme therefore never deletes or
+its schemes. Readers list only the folders of current, non-empty loads and
+filter on the current (load, scheme) pairs (partition pruning), so the cost
+of a read does not grow with the load history. Replacing a scheme therefore never deletes or
 overwrites files in place; an empty reload leaves the scheme empty; a failed
 load publishes nothing. The sequence high-water marks live in the manifest,
 so ids never go back even when the highest rows were replaced.
@@ -23,6 +24,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wingspan.functions.geometry import ewkt
 
 from wingspan.operators.quality import model_checks
 from wingspan.plans.load import conform
@@ -30,7 +34,7 @@ from wingspan.plans.model import MODEL, foreign_key_edges
 
 GLOBAL = "__all__"  # bms_id partition value for tables that are not scheme-scoped
 
-MANIFEST_SCHEMA = "tbl string, bms_id string, load_id string, high_water long"
+MANIFEST_SCHEMA = "tbl string, bms_id string, load_id string, rows long, high_water long"
 
 
 class PublishError(RuntimeError):
@@ -84,6 +88,7 @@ class Store:
     spark: SparkSession
     root: str
     last_cascade: dict | None = None  # rows removed by cascade in the last replacement, per table
+    last_audit: list | None = None  # (tbl, bms_id, rows) written by the last replacement
 
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -96,9 +101,9 @@ class Store:
             return None
 
     def manifest(self) -> list[dict]:
-        """Current (tbl, bms_id, load_id, high_water) entries: a handful of
-        rows per scheme, the only data the driver holds. The latest version
-        is found from the partition values alone and read with pruning."""
+        """Current (tbl, bms_id, load_id, rows, high_water) entries: one row
+        per table and scheme, the only data the driver holds. The latest
+        version is found from the partition values and read with pruning."""
         m = self._versions()
         if m is None:
             return []
@@ -111,7 +116,7 @@ class Store:
         m = self._versions()
         last = None if m is None else m.agg(F.max("version")).first()[0]
         version = 0 if last is None else last + 1
-        rows = [(e["tbl"], e["bms_id"], e["load_id"], int(e["high_water"])) for e in entries]
+        rows = [(e["tbl"], e["bms_id"], e["load_id"], int(e["rows"]), int(e["high_water"])) for e in entries]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).withColumn("version", F.lit(version))
         df.coalesce(1).write.mode("append").partitionBy("version").parquet(self._path("_manifest"))
 
@@ -125,65 +130,50 @@ class Store:
         return self._hw(self.manifest(), table)
 
     # -- reads -------------------------------------------------------------
+    def _read_schema(self, name: str) -> T.StructType:
+        fields = [f for f in MODEL[name].schema.fields if f.name != "bms_id"]
+        return T.StructType(fields + [T.StructField("load_id", T.StringType()), T.StructField("bms_id", T.StringType())])
+
+    def _read_loads(self, name: str, load_ids: list[str]) -> DataFrame:
+        """Only the folders of the given loads are listed, never the history."""
+        base = self._path(name)
+        paths = [f"{base}/load_id={lid}" for lid in sorted(set(load_ids))]
+        return self.spark.read.schema(self._read_schema(name)).option("basePath", base).parquet(*paths)
+
     def table(self, name: str, entries: list[dict] | None = None) -> DataFrame:
         """The current rows of a model table (``bms_id`` kept as a column for
         scheme-scoped tables that do not declare it)."""
         spec = MODEL[name]
         entries = self.manifest() if entries is None else entries
-        current = [(e["bms_id"], e["load_id"]) for e in entries if e["tbl"] == name]
-        empty = self.spark.createDataFrame([], spec.schema)
+        current = [(e["bms_id"], e["load_id"]) for e in entries if e["tbl"] == name and e["rows"] > 0]
+        cols = list(spec.schema.names)
+        if spec.scheme_scoped and "bms_id" not in cols:
+            cols.append("bms_id")
         if not current:
-            return empty if "bms_id" in spec.schema.names or not spec.scheme_scoped else empty.withColumn(
-                "bms_id", F.lit(None).cast("string"))
-        try:
-            df = self.spark.read.schema(self._read_schema(name)).parquet(self._path(name))
-        except Exception:
-            df = None
+            return self.spark.createDataFrame([], self._read_schema(name)).select(*cols)
         pred = None
         for b, lid in current:
-            p = (F.col("bms_id") == F.lit(b)) & (F.col("load_id") == F.lit(lid))
+            p = (F.col("load_id") == F.lit(lid)) & (F.col("bms_id") == F.lit(b))
             pred = p if pred is None else pred | p
-        cols = [c for c in spec.schema.names] + ([] if "bms_id" in spec.schema.names or not spec.scheme_scoped
-                                                  else ["bms_id"])
-        if df is None:
-            return empty.select(*[F.col(c) for c in spec.schema.names])
-        out = df.where(pred).select(*cols)
-        return out
-
-    def _read_schema(self, name: str):
-        from pyspark.sql import types as T
-
-        spec = MODEL[name]
-        fields = [f for f in spec.schema.fields if f.name != "bms_id"]
-        return T.StructType(fields + [T.StructField("bms_id", T.StringType()), T.StructField("load_id", T.StringType())])
+        return self._read_loads(name, [lid for _, lid in current]).where(pred).select(*cols)
 
     # -- writes ------------------------------------------------------------
     def replace_schemes(self, scheme_ids: list[str], frames: dict[str, DataFrame], check: bool = True) -> str:
         """K5: replace every given scheme in every given table, atomically.
 
         Rows are appended under a new load id, checked (keys, NOT NULL,
-        lengths, references among the loaded tables plus the published
-        species), and only then made current. Frames for a scheme may be
-        empty: that scheme then has no rows in that table. Cascade: a
-        scheme-scoped table that references a replaced table and is not
-        itself in ``frames`` loses the scheme's rows, counted in
-        ``last_cascade``; other schemes are never touched.
+        lengths, references among the loaded tables and the published
+        parents), and only then made current by a new manifest version.
+        Frames may be empty for a scheme: it then has no rows in that table.
+        Cascade: a scheme-scoped table that references a replaced table and
+        is not itself in ``frames`` loses the scheme's rows, counted in
+        ``last_cascade``; other schemes are never touched. ``last_audit``
+        holds the rows written per table and scheme.
         """
         load_id = uuid.uuid4().hex[:16]
-        frames = dict(frames)
-        before = self.manifest()
-        self.last_cascade = {}
-        # ON DELETE CASCADE: scheme-scoped children of replaced tables that the
-        # load does not rewrite lose the scheme's rows (their parents change ids).
-        changed = True
-        while changed:
-            changed = False
-            for child, fk in foreign_key_edges():
-                if fk.parent in frames and child not in frames and MODEL[child].scheme_scoped:
-                    old = self.table(child, before).where(F.col("bms_id").isin(*scheme_ids))
-                    self.last_cascade[child] = old.count() if any(e["tbl"] == child for e in before) else 0
-                    frames[child] = self.spark.createDataFrame([], MODEL[child].schema)
-                    changed = True
+        entries = self.manifest()
+        cascaded = self._cascade_targets(frames)
+        self.last_cascade = self._cascade_counts(cascaded, scheme_ids, entries)
         written: dict[str, DataFrame] = {}
         for name, df in frames.items():
             spec = MODEL[name]
@@ -191,35 +181,68 @@ class Store:
             b = F.col("bms_id") if "bms_id" in df.columns else F.lit(GLOBAL)
             out = df.withColumn("bms_id", b).withColumn("load_id", F.lit(load_id))
             out = out.where(F.col("bms_id").isin(*scheme_ids)) if spec.scheme_scoped else out
-            cols = [c for c in spec.schema.names if c != "bms_id"] + ["bms_id", "load_id"]
-            (out.select(*cols).write.mode("append").partitionBy("bms_id", "load_id").parquet(self._path(name)))
-            written[name] = (self.spark.read.schema(self._read_schema(name)).parquet(self._path(name))
-                             .where(F.col("load_id") == F.lit(load_id)).drop("load_id"))
-        entries = self.manifest()
+            cols = [c for c in spec.schema.names if c != "bms_id"] + ["load_id", "bms_id"]
+            out.select(*cols).write.mode("append").partitionBy("load_id", "bms_id").parquet(self._path(name))
+            try:
+                written[name] = self._read_loads(name, [load_id]).drop("load_id")
+            except Exception:  # nothing written: an empty reload
+                written[name] = self.spark.createDataFrame([], self._read_schema(name)).drop("load_id")
         if check:
             self._check(written, entries)
-        hw = {}
-        for name, df in written.items():
-            serial = MODEL[name].serial
-            if serial:
-                top = df.agg(F.max(serial)).first()[0]
-                hw[name] = max(self._hw(entries, name), int(top or 0))
-        keep = [dict(e) for e in entries if not (e["tbl"] in written and e["bms_id"] in scheme_ids)]
+        stats = self._load_stats(written)
+        self.last_audit = [(t, b, n) for (t, b), (n, _) in sorted(stats.items())]
+        hw = {name: self._hw(entries, name) for name in list(written) + cascaded}
+        for (t, _), (_, top) in stats.items():
+            hw[t] = max(hw[t], int(top or 0))
+        replaced = set(written) | set(cascaded)
+        keep = [dict(e) for e in entries if not (e["tbl"] in replaced and e["bms_id"] in scheme_ids)]
         for e in keep:
             if e["tbl"] in hw:
                 e["high_water"] = hw[e["tbl"]]
         new = []
-        for name in written:
+        for name in sorted(replaced):
             ids = scheme_ids if MODEL[name].scheme_scoped else [GLOBAL]
-            for s in ids:
-                new.append({"tbl": name, "bms_id": s, "load_id": load_id,
-                            "high_water": hw.get(name, self._hw(entries, name))})
+            for sid in ids:
+                n = stats.get((name, sid), (0, None))[0]
+                new.append({"tbl": name, "bms_id": sid, "load_id": load_id, "rows": n, "high_water": hw[name]})
         self._write_manifest(keep + new)
         return load_id
 
+    def _load_stats(self, written: dict[str, DataFrame]) -> dict[tuple[str, str], tuple[int, int | None]]:
+        """Rows and largest id per (table, scheme) of this load, in one job."""
+        parts = None
+        for name, df in written.items():
+            serial = MODEL[name].serial
+            top = F.max(serial).cast("long") if serial else F.lit(None).cast("long")
+            p = df.groupBy("bms_id").agg(F.count(F.lit(1)).alias("n"), top.alias("top")).select(
+                F.lit(name).alias("tbl"), "bms_id", "n", "top")
+            parts = p if parts is None else parts.unionByName(p)
+        if parts is None:
+            return {}
+        return {(r["tbl"], r["bms_id"]): (int(r["n"]), r["top"]) for r in parts.collect()}
+
+    @staticmethod
+    def _cascade_targets(frames: dict[str, DataFrame]) -> list[str]:
+        """ON DELETE CASCADE: scheme-scoped tables that reference a replaced
+        table (transitively) and are not reloaded lose the scheme's rows."""
+        hit = set(frames)
+        changed = True
+        while changed:
+            changed = False
+            for child, fk in foreign_key_edges():
+                if fk.parent in hit and child not in hit and MODEL[child].scheme_scoped:
+                    hit.add(child)
+                    changed = True
+        return sorted(hit - set(frames))
+
+    @staticmethod
+    def _cascade_counts(cascaded: list[str], scheme_ids: list[str], entries: list[dict]) -> dict[str, int]:
+        """Rows each cascaded table loses: read from the manifest, no job."""
+        return {t: sum(e["rows"] for e in entries if e["tbl"] == t and e["bms_id"] in scheme_ids) for t in cascaded}
+
     def _check(self, written: dict[str, DataFrame], entries: list[dict]) -> None:
         """Q1-Q4 on the new rows; references checked against new rows of the
-        same load or the currently published parents."""
+        same load or the currently published parents. One job."""
         parents = {}
         for name in written:
             for fk in MODEL[name].foreign_keys:
@@ -232,21 +255,18 @@ class Store:
 
     def export_snapshot(self, path: str, fmt: str = "parquet") -> list[str]:
         """K7: every model table's current rows under one new snapshot folder
-        (fails if it exists)."""
+        (fails if it exists); CSV renders points as EWKT text."""
+        entries = self.manifest()
         done = []
         for name in MODEL:
-            df = self.table(name)
-            w = df.write.mode("errorifexists")
+            df = self.table(name, entries)
             target = f"{path.rstrip('/')}/{name}"
             if fmt == "csv":
                 geo = [f.name for f in df.schema.fields if f.dataType.typeName() == "struct"]
-                if geo:
-                    from wingspan.functions.geometry import ewkt
-
-                    df = df.select(*[ewkt(c).alias(c) if c in geo else F.col(c) for c in df.columns])
+                df = df.select(*[ewkt(c).alias(c) if c in geo else F.col(c) for c in df.columns])
                 df.write.mode("errorifexists").option("header", True).csv(target)
             else:
-                w.parquet(target)
+                df.write.mode("errorifexists").parquet(target)
             done.append(target)
         return done
 
