@@ -134,3 +134,15 @@ def test_cascade_to_children_not_reloaded(spark, store):
     assert st.table("m_site_habitat").where("bms_id = 'AA'").count() == 0
     assert st.table("m_site_habitat").where("bms_id = 'BB'").count() == 1
     assert st.table("b_count").where("bms_id = 'AA'").count() == 0    # counts referenced the old sites
+
+
+def test_write_batched_and_analyze(spark, tmp_path):
+    df = spark.range(250).withColumnRenamed("id", "count_id")
+    P.write_batched(df.coalesce(1), str(tmp_path / "b"), ["count_id"], n=100)
+    files = [f for f in (tmp_path / "b").iterdir() if f.name.endswith(".parquet")]
+    assert len(files) == 3 and spark.read.parquet(str(tmp_path / "b")).count() == 250
+    df.write.mode("overwrite").saveAsTable("wingspan_analyze_probe")
+    P.analyze_table(spark, "wingspan_analyze_probe")
+    desc = spark.sql("DESCRIBE EXTENDED wingspan_analyze_probe").collect()
+    assert any("Statistics" in r[0] for r in desc)
+    spark.sql("DROP TABLE wingspan_analyze_probe")

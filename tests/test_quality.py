@@ -46,3 +46,21 @@ def test_model_checks(spark):
     assert res[("m_site", "primary_key")] == 2
     assert res[("m_site", "fk_bms_id")] == 1
     assert res[("m_site", "not_null")] == 0
+
+
+def test_cast_rejects_and_strict(spark):
+    import pytest as _pt
+    df = spark.createDataFrame([("1",), ("x",), (None,)], "v string")
+    assert rows(Q.cast_rejects(df, "v", "int")) == [("x",)]
+    with _pt.raises(Exception):
+        df.select(Q.strict_cast("v", "int")).collect()
+
+
+def test_load_warnings(spark):
+    from wingspan.functions.geometry import make_point
+    site = spark.createDataFrame([("A", 1), ("A", 1), ("A", 2), ("B", 1)], "bms_id string, bms_site_id int")
+    rec = spark.createDataFrame([("A", "07"), ("A", "7"), ("A", "8"), ("A", None)], "bms_id string, bms_observer_id string")
+    geo = spark.createDataFrame([(3.0, 50.0), (3000000.0, 2000000.0)], "x double, y double").select(
+        make_point("x", "y").alias("centroid_geom"))
+    got = dict(rows(Q.load_warnings(site, rec, geo)))
+    assert got == {"duplicate_bms_site_id": 1, "duplicate_observer_int": 1, "degree_like_point": 1}

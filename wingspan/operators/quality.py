@@ -161,3 +161,43 @@ def model_checks(tables: dict[str, DataFrame], only: Sequence[str] | None = None
             p = p.select(F.lit(name).alias("tbl"), F.lit(check).alias("check"), F.col("n").cast("long"))
             out = p if out is None else out.unionByName(p)
     return out.select("tbl", "check", "n")
+
+
+def cast_rejects(df: DataFrame, column: str, dtype: str) -> DataFrame:
+    """F8 companion: rows whose non-NULL value does not convert to ``dtype``
+    (the source system would abort the whole insert on the first one)."""
+    return df.where(F.col(column).isNotNull() & F.col(column).try_cast(dtype).isNull())
+
+
+def strict_cast(column: str, dtype: str) -> Column:
+    """F8: a cast that fails the job on bad input (ANSI ``CAST``)."""
+    return F.col(column).cast(dtype)
+
+
+def load_warnings(m_site: DataFrame, b_recorder: DataFrame, m_site_geo: DataFrame | None = None) -> DataFrame:
+    """Fan-out traps and suspicious values of a load, ``(warning, n)``:
+
+    * ``duplicate_bms_site_id``: a scheme site id held by several site rows
+      (its counts are multiplied by the count join);
+    * ``duplicate_observer_int``: text observer codes that meet as one
+      integer (``07`` and ``7``), which duplicate their visits;
+    * ``degree_like_point``: coordinates within +/-180/+/-90, i.e. probably
+      degrees stored as metres of the projection.
+    """
+    from wingspan.functions.geometry import lonlat_warning
+
+    site_dups = key_violations(m_site.where(F.col("bms_site_id").isNotNull()), ["bms_id", "bms_site_id"])
+    obs = b_recorder.select("bms_id", F.col("bms_observer_id").try_cast("int").alias("obs_int")).where(
+        F.col("obs_int").isNotNull())
+    obs_dups = key_violations(obs, ["bms_id", "obs_int"])
+    parts = [
+        site_dups.agg(F.count(F.lit(1)).alias("n")).select(F.lit("duplicate_bms_site_id").alias("warning"), "n"),
+        obs_dups.agg(F.count(F.lit(1)).alias("n")).select(F.lit("duplicate_observer_int").alias("warning"), "n"),
+    ]
+    if m_site_geo is not None:
+        parts.append(m_site_geo.agg(F.count_if(lonlat_warning("centroid_geom")).alias("n")).select(
+            F.lit("degree_like_point").alias("warning"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -60,6 +60,18 @@ def load_audit(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def write_batched(df: DataFrame, path: str, order: list[str], n: int = 100_000) -> None:
+    """K6: the source inserts in fixed-size batches to bound memory. Here it is
+    one distributed write, sorted within tasks, at most ``n`` rows per file;
+    the batch number itself is ``batch_number`` on the ids."""
+    df.sortWithinPartitions(*order).write.mode("errorifexists").option("maxRecordsPerFile", n).parquet(path)
+
+
+def analyze_table(spark: SparkSession, table: str) -> None:
+    """K10 for catalog tables: optimizer statistics for every column."""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
 def collect_statistics(df: DataFrame) -> DataFrame:
     """K10 (statistics half of ``VACUUM ANALYZE``): one pass computing row
     count, and per column NULL count, min and max, as ``(column, rows, nulls, min, max)``."""
