@@ -115,8 +115,8 @@ def test_load_audit_and_statistics(spark):
 
 def test_stage(spark, tmp_path):
     df = spark.range(3)
-    p = P.stage(df, str(tmp_path), "uk_site")
-    P.stage(spark.range(5), str(tmp_path), "uk_site")
+    p = P.stage(df, str(tmp_path), "site_stage")
+    P.stage(spark.range(5), str(tmp_path), "site_stage")
     assert spark.read.parquet(p).count() == 5
 
 

@@ -136,9 +136,12 @@ def update_from(target: DataFrame, source: DataFrame, on: Pairs, assignments: di
     """
     pairs = _pairs(on)
     src_cols = list(assignments.values())
+    if len(src_cols) == 1:  # a plain min keeps a fixed-width buffer: hash aggregate
+        pick = F.struct(F.min(F.col(src_cols[0])).alias("v0"))
+    else:  # lexicographic min over the assigned columns (sort-based aggregate)
+        pick = F.min(F.struct(*[F.col(s).alias(f"v{j}") for j, s in enumerate(src_cols)]))
     reduced = source.groupBy(*[F.col(b).alias(f"__k{i}") for i, (_, b) in enumerate(pairs)]).agg(
-        F.min(F.struct(*[F.col(s).alias(f"v{j}") for j, s in enumerate(src_cols)])).alias("__new")
-    ).withColumn("__hit", F.lit(True))
+        pick.alias("__new")).withColumn("__hit", F.lit(True))
     cond = None
     for i, (a, _) in enumerate(pairs):
         c = target[a] == reduced[f"__k{i}"]
