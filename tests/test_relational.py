@@ -82,3 +82,10 @@ def test_first_per_key_plans_partial_limit(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id"))
     plan = R.distinct_on(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_deep_page_uses_numbering(spark):
+    df = spark.createDataFrame([(i, i % 5) for i in range(200)], "id int, k int")
+    shallow = rows(R.page(df, ["k", "id"], 120, 30), "id")
+    deep = rows(R.page(df, ["k", "id"], 120, 30, max_take=10), "id")
+    assert shallow == deep and len(deep) == 30

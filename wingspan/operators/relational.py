@@ -176,6 +176,18 @@ def update_where(df: DataFrame, name: str, value: Column, where: Column) -> Data
     return df.withColumn(name, F.when(where, value).otherwise(F.col(name)))
 
 
-def page(df: DataFrame, order: Sequence[ColumnOrName], offset: int, n: int) -> DataFrame:
-    """O2: ``ORDER BY ... LIMIT n OFFSET i``; the order must be total."""
-    return df.orderBy(*asc_last(order)).offset(offset).limit(n)
+def page(df: DataFrame, order: Sequence[ColumnOrName], offset: int, n: int,
+         max_take: int = 100_000) -> DataFrame:
+    """O2: ``ORDER BY ... LIMIT n OFFSET i``; the order must be total.
+
+    A shallow page is a take-ordered (each task keeps ``offset + n`` rows).
+    A deep page would make that one unbounded task, so beyond ``max_take``
+    rows are numbered with the distributed ``assign_ids`` and the page is a
+    range filter on the number.
+    """
+    if offset + n <= max_take:
+        return df.orderBy(*asc_last(order)).offset(offset).limit(n)
+    from wingspan.operators.keys import assign_ids
+
+    ids = assign_ids(df, order, "__row", make_total=False)
+    return ids.where((F.col("__row") > offset) & (F.col("__row") <= offset + n)).orderBy("__row").drop("__row")

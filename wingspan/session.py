@@ -30,22 +30,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Taken from the session (``spark.checkpoint.dir`` or an already set
-    checkpoint dir). Only a local session without one gets a private folder;
-    a cluster session without one is an error, because a machine-local folder
-    is not visible to other executors.
+    Taken from the session (an already set checkpoint dir, or
+    ``spark.checkpoint.dir``). Only a local session without one gets a
+    private folder; a cluster session without one is an error, because a
+    machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext handle
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="wingspan-ckpt-"))
-        return sc.getCheckpointDir()
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir()
+        return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if master.startswith("local"):
+        local = tempfile.mkdtemp(prefix="wingspan-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(local)
+            return sc.getCheckpointDir()
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
     raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
 
 
