@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wingspan.operators.relational import anti_join
+from wingspan.operators.relational import anti_join, semi_join
 
 Edge = tuple[str, Sequence[str], str, Sequence[str]]  # (child, child cols, parent, parent cols)
 
@@ -39,23 +39,32 @@ def cascade_delete(tables: dict[str, DataFrame], edges: Sequence[Edge], keys: di
     ``deleted_keys[t]`` holds the key values removed directly from ``t`` (one
     column named ``keys[t]``). Walking parents before children, a child row
     goes when any of its references points at a removed parent row; a NULL
-    reference never cascades. Only anti joins: nothing is collected, and
-    every removed-key set is derived by Spark from the data.
+    reference never cascades. Only semi and anti joins: nothing is
+    collected, and every removed-key set is derived by Spark from the data.
     """
     removed: dict[str, DataFrame] = {}
     survivors: dict[str, DataFrame] = {}
     for t in topological(list(tables), edges):
         df = tables[t]
-        alive = df
+        alive, gone = df, []
         if t in deleted_keys:
-            alive = anti_join(alive, deleted_keys[t], [(keys[t], keys[t])])
+            pair = [(keys[t], keys[t])]
+            alive = anti_join(alive, deleted_keys[t], pair)
+            gone.append(semi_join(df, deleted_keys[t], pair))
         for child, ccols, parent, pcols in edges:
             if child == t and parent in removed:
-                alive = anti_join(alive, removed[parent], list(zip(ccols, pcols)))
+                pairs = list(zip(ccols, pcols))
+                alive = anti_join(alive, removed[parent], pairs)
+                gone.append(semi_join(df, removed[parent], pairs))
         survivors[t] = alive
-        if t in keys and alive is not df:
-            k = keys[t]
-            removed[t] = df.select(k).join(alive.select(k), k, "left_anti")
+        if t in keys and gone:
+            # removed keys come from semi joins on the parents' removed keys,
+            # never from this table's survivors: the plan stays linear in the
+            # graph. Duplicates do not change a semi/anti join, so no distinct.
+            g = gone[0].select(keys[t])
+            for x in gone[1:]:
+                g = g.unionByName(x.select(keys[t]))
+            removed[t] = g
     return survivors
 
 

@@ -113,6 +113,17 @@ def anti_join(target: DataFrame, other: DataFrame, on: Pairs) -> DataFrame:
     return target.join(keys, cond, "left_anti")
 
 
+def semi_join(target: DataFrame, other: DataFrame, on: Pairs) -> DataFrame:
+    """Rows of ``target`` with a partner in ``other`` (``WHERE key IN (...)``)."""
+    pairs = _pairs(on)
+    keys = other.select(*[F.col(b).alias(f"__k{i}") for i, (_, b) in enumerate(pairs)])
+    cond = None
+    for i, (a, _) in enumerate(pairs):
+        c = target[a] == keys[f"__k{i}"]
+        cond = c if cond is None else cond & c
+    return target.join(keys, cond, "left_semi")
+
+
 def delete_using(target: DataFrame, source: DataFrame, on: Pairs) -> DataFrame:
     """What survives ``DELETE FROM target USING source WHERE keys match``."""
     return anti_join(target, source, on)
