@@ -21,7 +21,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) == 34
+    assert len(E.queries()) == 37
 
 
 def _norm(rows):

@@ -241,4 +241,30 @@ ORACLE: dict[str, str] = {
                CASE WHEN y IS NOT NULL THEN 'SRID=3035;POINT(' || CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR) || ')'
                END AS centroid_geom, section_geom_true
         FROM g""",
+    "observer_fanout": """
+        WITH v AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT'
+                                           THEN lpad(CAST(o_custkey AS VARCHAR), 5, '0')
+                                           ELSE CAST(o_custkey AS VARCHAR) END AS obs
+                   FROM orders),
+        r AS (SELECT obs, row_number() OVER (ORDER BY obs) AS recorder_id FROM (SELECT DISTINCT obs FROM v)),
+        j AS (SELECT v.o_orderkey, r.recorder_id FROM v LEFT JOIN r ON CAST(v.obs AS INTEGER) = CAST(r.obs AS INTEGER))
+        SELECT row_number() OVER (ORDER BY o_orderkey, recorder_id) AS visit_id,
+               CAST(o_orderkey AS INTEGER) AS bms_visit_id, recorder_id
+        FROM j""",
+    "dropped_counts": """
+        SELECT DISTINCT 'EUROPE' AS bms_id, l_orderkey AS bms_visit_id, l_suppkey AS bms_site_id,
+               l_partkey AS species_id, l_quantity AS count
+        FROM lineitem
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+           OR l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 10)""",
+    "load_warnings": """
+        WITH sr AS (SELECT r_name, s_suppkey, s_nationkey, s_acctbal FROM supplier
+                    JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+        v AS (SELECT DISTINCT CASE WHEN o_orderpriority = '1-URGENT' THEN lpad(CAST(o_custkey AS VARCHAR), 5, '0')
+                                   ELSE CAST(o_custkey AS VARCHAR) END AS obs FROM orders)
+        SELECT 'duplicate_bms_site_id' AS warning, count(*) AS n
+          FROM (SELECT r_name, s_suppkey FROM sr GROUP BY 1, 2 HAVING count(*) > 1)
+        UNION ALL SELECT 'duplicate_observer_int', count(*)
+          FROM (SELECT CAST(obs AS INTEGER) AS k FROM v GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'degree_like_point', count(*) FROM sr WHERE abs(s_nationkey) <= 180 AND abs(s_acctbal) <= 90""",
 }

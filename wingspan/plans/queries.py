@@ -417,6 +417,52 @@ def q_geo_dim(spark, sf):
     return g.select("site_id", G.ewkt("centroid_geom").alias("centroid_geom"), "section_geom_true")
 
 
+def _text_observer_visits(spark, sf):
+    """Visits whose observer code is text; urgent orders write it zero-padded,
+    so one customer can appear as two codes that meet as one integer."""
+    o = table(spark, sf, "orders")
+    code = F.col("o_custkey").cast("string")
+    return o.select(F.col("o_orderkey").alias("bms_visit_id"),
+                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lpad(code, 5, "0")).otherwise(code)
+                    .alias("bms_observer_id"),
+                    F.lit("T").alias("transect_id"), F.lit("2024-1-1").alias("visit_date"))
+
+
+def q_observer_fanout(spark, sf):
+    detail = schemes_from_regions(spark, sf)
+    visits = _text_observer_visits(spark, sf)
+    recorders = L.recorder_dim(visits, detail, SCHEME)
+    m = L.visit_fact(visits, recorders, detail, SCHEME)
+    return m.select("visit_id", "bms_visit_id", "recorder_id")
+
+
+def q_dropped_counts(spark, sf):
+    detail = schemes_from_regions(spark, sf)
+    s = table(spark, sf, "supplier").where(F.col("s_nationkey") < 10)
+    sites = s.select(F.col("s_nationkey").alias("transect_id"), F.col("s_name").alias("section_id"),
+                     F.col("s_suppkey").alias("bms_site_id"))
+    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+    visits = o.select(F.col("o_orderkey").alias("bms_visit_id"), F.col("o_custkey").alias("bms_observer_id"),
+                      F.lit("T").alias("transect_id"))
+    li = table(spark, sf, "lineitem")
+    counts = li.select(F.lit(SCHEME).alias("bms_id"), F.col("l_orderkey").alias("bms_visit_id"),
+                       F.col("l_suppkey").alias("bms_site_id"), F.col("l_partkey").alias("species_id"),
+                       F.col("l_quantity").alias("count"))
+    m_site = L.site_dim(sites, detail, SCHEME)
+    m_visit = L.visit_fact(visits, L.recorder_dim(visits, detail, SCHEME), detail, SCHEME)
+    return L.unmatched_counts(counts, m_visit, m_site)
+
+
+def q_load_warnings(spark, sf):
+    detail = schemes_from_regions(spark, sf)
+    sites = sites_by_region(spark, sf)
+    m_site = L.site_dim(sites, detail)
+    geo = L.geo_dim(sites, m_site)
+    visits = _text_observer_visits(spark, sf)
+    recorders = L.recorder_dim(visits, detail, SCHEME)
+    return quality.load_warnings(m_site, recorders, geo)
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """One scheme loaded end to end, then counts per species (section 7.3)."""
     c = _one_scheme_load(spark, sf)
@@ -459,4 +505,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_schemes": q_append_schemes,
     "rekey_cascade": q_rekey_cascade,
     "geo_dim": q_geo_dim,
+    "observer_fanout": q_observer_fanout,
+    "dropped_counts": q_dropped_counts,
+    "load_warnings": q_load_warnings,
 }
