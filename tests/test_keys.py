@@ -49,3 +49,12 @@ def test_materialize_cuts_lineage(spark):
     m = materialize(df)
     assert "Scan parquet" in m._jdf.queryExecution().executedPlan().toString()
     assert sorted(rows(m)) == sorted(rows(df))
+
+
+def test_assign_ids_broadcast_offsets_path(spark, monkeypatch):
+    import wingspan.operators.keys as K
+    monkeypatch.setattr(K, "_INLINE_OFFSETS", 0)
+    df = spark.createDataFrame([(i % 17, i) for i in range(400)], "k int, v int").repartition(6)
+    out = sorted(rows(K.assign_ids(df, ["k", "v"], "id", start=10)))
+    assert [r[0] for r in out] == list(range(11, 411))
+    assert [r[1:] for r in out] == sorted((i % 17, i) for i in range(400))

@@ -12,8 +12,9 @@ to one task:
    (a lost executor re-reads files instead of re-sampling the boundaries);
 3. count rows per partition (one row per partition reaches the driver) and
    turn the counts into offsets;
-4. id = start + offset(partition) + position + 1, the offsets joined as a
-   broadcast table whose size is the number of partitions.
+4. id = start + offset(partition) + position + 1; the offsets are a literal
+   map in the expression for up to 512 partitions, beyond that a broadcast
+   table whose size is the number of partitions.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from wingspan.session import scratch_path
 
 ColumnOrName = Column | str
 _LOW_BITS = (1 << 33) - 1
+_INLINE_OFFSETS = 512  # above this many partitions the offsets are broadcast instead of inlined
 
 
 def _orderable(dt: T.DataType) -> bool:
@@ -77,9 +79,16 @@ def assign_ids(df: DataFrame, order: Sequence[ColumnOrName], id_col: str, start:
     for row in sorted(counts, key=lambda r: r["__pid"]):
         offsets.append((row["__pid"], acc))
         acc += row["n"]
-    off_df = spark.createDataFrame(offsets or [(0, 0)], "__pid long, __off long")
     base = start if isinstance(start, Column) else F.lit(start).cast("long")
-    out = staged.withColumn("__pid", pid).join(F.broadcast(off_df), "__pid")
+    if len(offsets) <= _INLINE_OFFSETS:
+        # few partitions: a literal map in the expression, no broadcast job
+        lookup = F.create_map(*[F.lit(x).cast("long") for po in offsets for x in po]) if offsets \
+            else F.create_map().cast("map<bigint,bigint>")
+        out = staged.withColumn("__off", F.element_at(lookup, pid))
+    else:
+        # many partitions: one broadcast of (partition, offset), bounded by the partition count
+        off_df = spark.createDataFrame(offsets, "__pid long, __off long")
+        out = staged.withColumn("__pid", pid).join(F.broadcast(off_df), "__pid")
     ident = base + F.col("__off") + F.col("__pos").bitwiseAND(F.lit(_LOW_BITS)) + F.lit(1)
     cols = [ident.cast("long").alias(id_col)] + [F.col(c) for c in df.columns if c != id_col]
     return out.select(*cols)
