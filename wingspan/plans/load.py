@@ -9,6 +9,7 @@ scoped by scheme in every join, so one plan serves one scheme or all.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -244,6 +245,22 @@ def geo_dim(raw_sites: DataFrame, sites: DataFrame, scheme_id: str | None = None
 
 
 # --- C9 / C10 -----------------------------------------------------------------
+def together(*steps):
+    """Run independent builder steps side by side.
+
+    The dimension builders run Spark jobs while they are built (range
+    sampling, the checkpoint write of ``assign_ids``); independent ones are
+    submitted from separate driver threads so the scheduler overlaps their
+    jobs. Results come back in the order given.
+    """
+    if len(steps) == 1:
+        return [steps[0]()]
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = [pool.submit(step) for step in steps]
+        return [f.result() for f in futures]
+
+
+
 @dataclass
 class SchemeSources:
     """Staging frames of one or many schemes (each with ``bms_id`` for many)."""
@@ -260,8 +277,10 @@ def load_tables(schemes: DataFrame, src: SchemeSources, scheme_id: str | None =
     the load, in dependency order. ``starts`` are the sequences' marks."""
     starts = starts or {}
     detail = schemes if scheme_id is None else schemes.where(F.col("bms_id") == F.lit(scheme_id))
-    m_site = site_dim(src.sites, schemes, scheme_id, starts.get("m_site", 0))
-    b_recorder = recorder_dim(src.visits, schemes, scheme_id, starts.get("b_recorder", 0))
+    m_site, b_recorder = together(
+        lambda: site_dim(src.sites, schemes, scheme_id, starts.get("m_site", 0)),
+        lambda: recorder_dim(src.visits, schemes, scheme_id, starts.get("b_recorder", 0)),
+    )
     m_visit = visit_fact(src.visits, b_recorder, schemes, scheme_id, starts.get("m_visit", 0))
     b_count = count_fact(src.counts, m_visit, m_site, scheme_id, starts.get("b_count", 0))
     m_site_geo = geo_dim(src.sites, m_site, scheme_id)

@@ -170,8 +170,8 @@ def _one_scheme_load(spark, sf):
     li = table(spark, sf, "lineitem")
     counts = li.select(F.col("l_orderkey").alias("bms_visit_id"), F.col("l_suppkey").alias("bms_site_id"),
                        F.col("l_partkey").alias("species_id"), F.col("l_quantity").alias("count"))
-    m_site = L.site_dim(sites, detail, SCHEME)
-    b_recorder = L.recorder_dim(visits, detail, SCHEME)
+    m_site, b_recorder = L.together(lambda: L.site_dim(sites, detail, SCHEME),
+                                    lambda: L.recorder_dim(visits, detail, SCHEME))
     m_visit = L.visit_fact(visits, b_recorder, detail, SCHEME)
     return L.count_fact(counts, m_visit, m_site, SCHEME)
 
@@ -448,19 +448,19 @@ def q_dropped_counts(spark, sf):
     counts = li.select(F.lit(SCHEME).alias("bms_id"), F.col("l_orderkey").alias("bms_visit_id"),
                        F.col("l_suppkey").alias("bms_site_id"), F.col("l_partkey").alias("species_id"),
                        F.col("l_quantity").alias("count"))
-    m_site = L.site_dim(sites, detail, SCHEME)
-    m_visit = L.visit_fact(visits, L.recorder_dim(visits, detail, SCHEME), detail, SCHEME)
+    m_site, recorders = L.together(lambda: L.site_dim(sites, detail, SCHEME),
+                                   lambda: L.recorder_dim(visits, detail, SCHEME))
+    m_visit = L.visit_fact(visits, recorders, detail, SCHEME)
     return L.unmatched_counts(counts, m_visit, m_site)
 
 
 def q_load_warnings(spark, sf):
     detail = schemes_from_regions(spark, sf)
     sites = sites_by_region(spark, sf)
-    m_site = L.site_dim(sites, detail)
-    geo = L.geo_dim(sites, m_site)
     visits = _text_observer_visits(spark, sf)
-    recorders = L.recorder_dim(visits, detail, SCHEME)
-    return quality.load_warnings(m_site, recorders, geo)
+    m_site, recorders = L.together(lambda: L.site_dim(sites, detail),
+                                   lambda: L.recorder_dim(visits, detail, SCHEME))
+    return quality.load_warnings(m_site, recorders, L.geo_dim(sites, m_site))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
