@@ -34,7 +34,8 @@ _INLINE_OFFSETS = 512  # above this many partitions the offsets are broadcast in
 
 
 def _orderable(dt: T.DataType) -> bool:
-    return not isinstance(dt, (T.MapType, T.VariantType)) if hasattr(T, "VariantType") else not isinstance(dt, T.MapType)
+    """Maps and variants cannot be sorted; every other column can break ties."""
+    return not isinstance(dt, (T.MapType, T.VariantType))
 
 
 def total_order(df: DataFrame, order: Sequence[ColumnOrName]) -> list[Column]:

@@ -25,8 +25,9 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType | str | None =
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     if schema is not None:
         if isinstance(schema, str):
-            schema = T._parse_datatype_string(schema)  # noqa: SLF001 - public DDL parser
-        schema = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+            schema = f"{schema}, _corrupt_record string"  # DDL text, read by the reader itself
+        else:
+            schema = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
         reader = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord",
                                                                            "_corrupt_record")
     else:

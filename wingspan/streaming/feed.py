@@ -51,13 +51,17 @@ def load_requests(spark: SparkSession, store: Store, requests: list[dict], check
 
 
 def start_feed(spark: SparkSession, request_dir: str, store: Store, checkpoint: str,
-               checklist: DataFrame | None = None, available_now: bool = False) -> StreamingQuery:
+               checklist: DataFrame | None = None, available_now: bool = False,
+               max_files: int = 64) -> StreamingQuery:
     """Start the delivery stream: JSON request files in ``request_dir``."""
-    requests = spark.readStream.schema(REQUEST_SCHEMA).json(request_dir)
+    # at most max_files request files per micro-batch: the driver holds a bounded list
+    requests = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files).json(request_dir)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        # the last request per scheme in a batch wins
-        reqs = {r["bms_id"]: r.asDict() for r in batch.collect()}
+        # several requests for one scheme in a batch: the one in the last file
+        # name wins (name deliveries by time, e.g. 2024-06-01T10-00_UK.json)
+        ordered = batch.withColumn("__file", F.input_file_name()).orderBy("__file").drop("__file")
+        reqs = {r["bms_id"]: r.asDict() for r in ordered.collect()}
         if reqs:
             load_requests(batch.sparkSession, store, list(reqs.values()), checklist)
 
