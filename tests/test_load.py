@@ -115,3 +115,13 @@ def test_append_schemes(spark):
     out = L.append_schemes([a, b], "m_site")
     assert out.columns[:3] == ["site_id", "bms_id", "transect_id"]
     assert sorted(rows(out, "bms_id", "bms_site_id", "transect_id"), key=str) == [("A", 1, None), ("B", 2, "t")]
+
+
+def test_site_dim_distinct_before_cast(spark):
+    from wingspan.sources.readers import Scheme, scheme_detail
+    d = scheme_detail(spark, Scheme("Q", "QQQ", "Q", "c", "e"))
+    s = spark.createDataFrame([("Q", "1", "1", 5, 2.3), ("Q", "1", "1", 5, 2.4), ("Q", "1", "1", 5, 2.4)],
+                              "bms_id string, transect_id string, section_id string, bms_site_id int, "
+                              "site_info_quality double")
+    out = L.site_dim(s, d)
+    assert sorted(rows(out, "site_id", "site_info_quality")) == [(1, 2), (2, 2)]

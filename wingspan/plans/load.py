@@ -118,18 +118,32 @@ def site_dim(sites: DataFrame, schemes: DataFrame, scheme_id: str | None = None,
     def opt(name: str) -> Column:
         return F.col(name) if name in s.columns else F.lit(None)
 
-    d = s.select(
+    # DISTINCT on the staging values, as the source does, and only then the
+    # assignment casts of the insert: values that differ in staging but cast
+    # to the same model value stay separate rows.
+    raw = s.select(
         F.col("bms_id"),
         qualify("bms_id", "transect_id").alias("transect_id"),
-        opt("transect_length").cast(MODEL["m_site"].schema["transect_length"].dataType).alias("transect_length"),
-        opt("section_id").cast("string").alias("section_id"),
-        opt("section_length").cast(MODEL["m_site"].schema["section_length"].dataType).alias("section_length"),
-        opt("section_transect_length_equal").cast("boolean").alias("section_transect_length_equal"),
-        opt("monitoring_type").cast("string").alias("monitoring_type"),
-        assign_int(opt("site_info_quality")).alias("site_info_quality"),
-        assign_int(F.col("bms_site_id")).alias("bms_site_id"),
+        opt("transect_length").alias("transect_length"),
+        opt("section_id").alias("section_id"),
+        opt("section_length").alias("section_length"),
+        opt("section_transect_length_equal").alias("section_transect_length_equal"),
+        opt("monitoring_type").alias("monitoring_type"),
+        opt("site_info_quality").alias("site_info_quality"),
+        F.col("bms_site_id"),
     ).distinct()
-    ids = assign_ids(d, ["transect_id", "section_id", "bms_site_id"], "site_id", start)
+    d = raw.select(
+        "bms_id", "transect_id",
+        F.col("transect_length").cast(MODEL["m_site"].schema["transect_length"].dataType).alias("transect_length"),
+        F.col("section_id").cast("string").alias("section_id"),
+        F.col("section_length").cast(MODEL["m_site"].schema["section_length"].dataType).alias("section_length"),
+        F.col("section_transect_length_equal").cast("boolean").alias("section_transect_length_equal"),
+        F.col("monitoring_type").cast("string").alias("monitoring_type"),
+        assign_int(F.col("site_info_quality")).alias("site_info_quality"),
+        assign_int(F.col("bms_site_id")).alias("bms_site_id"),
+        F.col("section_id").alias("__ord_section"),
+    )
+    ids = assign_ids(d, ["transect_id", "__ord_section", "bms_site_id"], "site_id", start)
     return conform(ids, "m_site")
 
 
