@@ -20,7 +20,7 @@ so ids never go back even when the highest rows were replaced.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +101,7 @@ class Store:
     root: str
     last_cascade: dict | None = None  # rows removed by cascade in the last replacement, per table
     last_audit: list | None = None  # (tbl, bms_id, rows) written by the last replacement
+    _cache: tuple | None = field(default=None, repr=False)  # (version, entries) last read or written
 
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -112,25 +113,29 @@ class Store:
         except Exception:  # no manifest yet
             return None
 
-    def manifest(self) -> list[dict]:
+    def manifest(self, refresh: bool = False) -> list[dict]:
         """Current (tbl, bms_id, load_id, rows, high_water) entries: one row
         per table and scheme, the only data the driver holds. The latest
-        version is found from the partition values and read with pruning."""
+        version is found from the partition values and read with pruning;
+        the store keeps what it last read or wrote (one loader at a time)."""
+        if self._cache is not None and not refresh:
+            return [dict(e) for e in self._cache[1]]
         m = self._versions()
-        if m is None:
-            return []
-        last = m.agg(F.max("version")).first()[0]
-        if last is None:
-            return []
-        return [r.asDict() for r in m.where(F.col("version") == last).drop("version").collect()]
+        last = None if m is None else m.agg(F.max("version")).first()[0]
+        entries = [] if last is None else [
+            r.asDict() for r in m.where(F.col("version") == last).drop("version").collect()]
+        self._cache = (last, entries)
+        return [dict(e) for e in entries]
 
     def _write_manifest(self, entries: list[dict]) -> None:
-        m = self._versions()
-        last = None if m is None else m.agg(F.max("version")).first()[0]
+        if self._cache is None:
+            self.manifest()
+        last = self._cache[0]
         version = 0 if last is None else last + 1
         rows = [(e["tbl"], e["bms_id"], e["load_id"], int(e["rows"]), int(e["high_water"])) for e in entries]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).withColumn("version", F.lit(version))
         df.coalesce(1).write.mode("append").partitionBy("version").parquet(self._path("_manifest"))
+        self._cache = (version, [dict(e) for e in entries])
 
     @staticmethod
     def _hw(entries: list[dict], table: str) -> int:
