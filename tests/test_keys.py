@@ -58,3 +58,9 @@ def test_assign_ids_broadcast_offsets_path(spark, monkeypatch):
     out = sorted(rows(K.assign_ids(df, ["k", "v"], "id", start=10)))
     assert [r[0] for r in out] == list(range(11, 411))
     assert [r[1:] for r in out] == sorted((i % 17, i) for i in range(400))
+
+
+def test_assign_ids_explicit_partitions(spark):
+    df = spark.createDataFrame([(i % 9, i) for i in range(300)], "k int, v int")
+    out = assign_ids(df, ["k", "v"], "id", num_partitions=7)
+    assert sorted(r[0] for r in rows(out, "id")) == list(range(1, 301))

@@ -60,16 +60,23 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def assign_ids(df: DataFrame, order: Sequence[ColumnOrName], id_col: str, start: int | Column = 0,
-               make_total: bool = True) -> DataFrame:
+               make_total: bool = True, num_partitions: int | None = None) -> DataFrame:
     """``id_col`` = start + 1, start + 2, ... in ``order`` (NULLs last).
 
     ``start`` is the sequence's high-water mark (0 for a new sequence). With
     ``make_total`` the order is completed with every other column.
+
+    AQE merges small range partitions but never splits one, so the initial
+    count must keep each range task-sized: ``num_partitions``, else the
+    session's ``spark.wingspan.rangePartitions``, else the shuffle default
+    (``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` /
+    ``spark.sql.shuffle.partitions``). Aim at input bytes / 256 MB.
     """
     spark = df.sparkSession
     sort = total_order(df, order) if make_total else asc_last(order)
+    n = num_partitions or int(spark.conf.get("spark.wingspan.rangePartitions", "0") or 0)
     ranged = (
-        df.repartitionByRange(*sort)
+        (df.repartitionByRange(n, *sort) if n else df.repartitionByRange(*sort))
         .sortWithinPartitions(*sort)
         .withColumn("__pos", F.monotonically_increasing_id())
     )
