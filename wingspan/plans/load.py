@@ -12,6 +12,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -270,7 +271,8 @@ def together(*steps):
     if len(steps) == 1:
         return [steps[0]()]
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        futures = [pool.submit(step) for step in steps]
+        # inheritable targets carry the caller's job group and local properties
+        futures = [pool.submit(inheritable_thread_target(step)) for step in steps]
         return [f.result() for f in futures]
 
 
