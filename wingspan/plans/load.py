@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wingspan.functions.geometry import make_point
@@ -27,7 +27,7 @@ from wingspan.functions.scalars import (
     qualify,
     section_flag,
 )
-from wingspan.operators.keys import assign_ids
+from wingspan.operators.keys import _orderable, assign_ids
 from wingspan.operators.relational import (
     add_column_if_absent,
     attach_scheme,
@@ -171,7 +171,8 @@ def visit_fact(visits: DataFrame, recorders: DataFrame, schemes: DataFrame, sche
     (bms_visit_id, raw date, raw transect).
     """
     v = attach_scheme(visits, schemes, scheme_id)
-    rest = [c for c in v.columns if c not in ("bms_id", "bms_visit_id", "bms_observer_id")]
+    rest = [f.name for f in v.schema.fields
+            if f.name not in ("bms_id", "bms_visit_id", "bms_observer_id") and _orderable(f.dataType)]
     first = distinct_on(v, ["bms_id", "bms_visit_id"], ["bms_observer_id"], tiebreak=rest)
     r = recorders
     if scheme_id is not None:
@@ -233,12 +234,16 @@ def count_fact(counts: DataFrame, visits: DataFrame, sites: DataFrame, scheme_id
 
 
 def unmatched_counts(counts: DataFrame, visits: DataFrame, sites: DataFrame) -> DataFrame:
-    """Counts dropped by ``count_fact``'s inner joins (no visit or no site)."""
+    """Counts dropped by ``count_fact``'s inner joins (no visit, or a visit
+    but no site), each staging row once."""
     v = visits.select(F.col("bms_id").alias("__vb"), F.col("bms_visit_id").alias("__vk"))
     s = sites.select(F.col("bms_id").alias("__sb"), F.col("bms_site_id").alias("__sk"))
-    a = counts.join(v, (counts["bms_id"] == v["__vb"]) & (counts["bms_visit_id"] == v["__vk"]), "left_anti")
-    b = counts.join(s, (counts["bms_id"] == s["__sb"]) & (counts["bms_site_id"] == s["__sk"]), "left_anti")
-    return a.unionByName(b).distinct()
+    on_visit = (counts["bms_id"] == v["__vb"]) & (counts["bms_visit_id"] == v["__vk"])
+    on_site = (counts["bms_id"] == s["__sb"]) & (counts["bms_site_id"] == s["__sk"])
+    no_visit = counts.join(v, on_visit, "left_anti")
+    # disjoint from no_visit: every dropped count appears once, duplicates kept
+    no_site = counts.join(v, on_visit, "left_semi").join(s, on_site, "left_anti")
+    return no_visit.unionByName(no_site)
 
 
 # --- C8 -----------------------------------------------------------------------
@@ -272,7 +277,9 @@ def together(*steps):
         return [steps[0]()]
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         # inheritable targets carry the caller's job group and local properties
-        futures = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        session = SparkSession.getActiveSession()
+        wrap = inheritable_thread_target(session) if session is not None else inheritable_thread_target
+        futures = [pool.submit(wrap(step)) for step in steps]
         return [f.result() for f in futures]
 
 

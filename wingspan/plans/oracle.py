@@ -252,7 +252,7 @@ ORACLE: dict[str, str] = {
                CAST(o_orderkey AS INTEGER) AS bms_visit_id, recorder_id
         FROM j""",
     "dropped_counts": """
-        SELECT DISTINCT 'EUROPE' AS bms_id, l_orderkey AS bms_visit_id, l_suppkey AS bms_site_id,
+        SELECT 'EUROPE' AS bms_id, l_orderkey AS bms_visit_id, l_suppkey AS bms_site_id,
                l_partkey AS species_id, l_quantity AS count
         FROM lineitem
         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
