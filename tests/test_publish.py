@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from fixture_schemes import frames
 from wingspan.plans import load as L
+from wingspan.operators.quality import model_checks
 from wingspan.plans import publish as P
 
 
@@ -146,3 +147,18 @@ def test_write_batched_and_analyze(spark, tmp_path):
     desc = spark.sql("DESCRIBE EXTENDED wingspan_analyze_probe").collect()
     assert any("Statistics" in r[0] for r in desc)
     spark.sql("DROP TABLE wingspan_analyze_probe")
+
+
+def test_trusted_keys_skip_only_constructed_checks(spark, store):
+    st, f = store
+    tables = _load(spark, _clean_counts(f))
+    # a reference to an unknown species is still refused in trusted mode
+    bad = dict(tables)
+    bad["b_count"] = tables["b_count"].withColumn("species_id", F.lit(777))
+    with pytest.raises(P.PublishError, match="fk_species_id"):
+        st.replace_schemes(["AA", "BB"], bad, trusted_keys=True)
+    res = {(r["tbl"], r["check"]) for r in model_checks(tables, only=list(tables), trusted=list(tables)).collect()}
+    assert ("b_count", "primary_key") not in res and ("b_count", "fk_visit_id") not in res
+    assert ("b_count", "not_null") in res
+    st.replace_schemes(["AA", "BB"], tables, trusted_keys=True)
+    assert st.table("b_count").count() == 5

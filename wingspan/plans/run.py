@@ -67,7 +67,7 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
     starts = {t: store._hw(entries, t) for t in SEQUENCES}
     src = L.SchemeSources(raw("sites"), visits, counts)
     tables = L.load_tables(detail, src, starts=starts)
-    load_id = store.replace_schemes(ids, tables)
+    load_id = store.replace_schemes(ids, tables, trusted_keys=True)
     published = {t: store.table(t) for t in ("m_site", "b_recorder", "m_visit", "b_count", "m_site_geo")}
     mine = {t: df.where(F.col("bms_id").isin(*ids)) for t, df in published.items()}
     return LoadReport(

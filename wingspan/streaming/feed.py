@@ -47,7 +47,7 @@ def load_requests(spark: SparkSession, store: Store, requests: list[dict], check
         counts = L.resolve_species(counts, checklist)
     marks = {t: store.high_water(t) for t in ("m_site", "b_recorder", "m_visit", "b_count")}
     tables = L.load_tables(detail, L.SchemeSources(sites, visits, counts), starts=marks)
-    return store.replace_schemes(ids, tables)
+    return store.replace_schemes(ids, tables, trusted_keys=True)
 
 
 def start_feed(spark: SparkSession, request_dir: str, store: Store, checkpoint: str,
