@@ -238,10 +238,11 @@ def q_scheme_replace(spark, sf):
     detail = L.conform(nations, "bms_detail")
     store = P.Store(spark, scratch_path(spark, "store"))
     all_ids = [r["bms_id"] for r in nations.collect()]  # scheme names (25 rows): the load's parameter list
-    store.replace_schemes(all_ids, {"bms_detail": detail, "m_site": L.site_dim(sites, detail)})
+    store.replace_schemes(all_ids, {"bms_detail": detail, "m_site": L.site_dim(sites, detail)}, trusted_keys=True)
     reload = sites.where((F.col("bms_id") == "NATION_7") & (F.col("s_acctbal") >= 0))
     hw = store.high_water("m_site")
-    store.replace_schemes(["NATION_7", "NATION_8"], {"m_site": L.site_dim(reload, detail, None, hw)})
+    store.replace_schemes(["NATION_7", "NATION_8"], {"m_site": L.site_dim(reload, detail, None, hw)},
+                          trusted_keys=True)
     return store.table("m_site").select("site_id", "bms_id", "bms_site_id")
 
 
