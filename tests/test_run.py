@@ -47,3 +47,29 @@ def test_load_schemes_from_csv(spark, tmp_path):
     load_scheme(spark, store, aa, files[aa], f["checklist"], SCHEMAS)
     assert store.table("m_site").where("bms_id = 'AA'").agg(F.min("site_id")).first()[0] > mark
     assert sorted(rows(store.table("m_site").where("bms_id = 'BB'"))) == bb
+
+
+def test_scratch_removed_after_publish(spark, tmp_path):
+    import os
+
+    from wingspan import session as S
+    f = frames(spark)
+    store = P.init_model(spark, str(tmp_path / "model2"))
+    store.replace_schemes([], {"b_species_id": L.species_reference(f["checklist"])})
+    before = len(S._SCRATCH_MADE)
+    seen = []
+    orig = S.drop_paths
+
+    def spy(sp, paths):
+        seen.extend(paths)
+        return orig(sp, paths)
+
+    S.drop_paths = spy
+    try:
+        import wingspan.plans.run as run_mod
+        run_mod.load_schemes(spark, store, _csv(f, tmp_path), f["checklist"], SCHEMAS)
+    finally:
+        S.drop_paths = orig
+    assert seen and len(S._SCRATCH_MADE) == before
+    assert not any(os.path.exists(p.replace("file:", "")) for p in seen)
+    assert store.table("b_count").count() == 6      # published data does not depend on the scratch

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wingspan.operators.quality import load_warnings
 from wingspan.plans import load as L
 from wingspan.plans.publish import Store, load_audit
+from wingspan.session import scratch_scope
 from wingspan.sources.readers import Scheme, read_raw, scheme_detail
 
 
@@ -66,8 +67,9 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
     entries = store.manifest()
     starts = {t: store._hw(entries, t) for t in SEQUENCES}
     src = L.SchemeSources(raw("sites"), visits, counts)
-    tables = L.load_tables(detail, src, starts=starts)
-    load_id = store.replace_schemes(ids, tables, trusted_keys=True)
+    with scratch_scope(spark):  # numbering copies are removed once published (or refused)
+        tables = L.load_tables(detail, src, starts=starts)
+        load_id = store.replace_schemes(ids, tables, trusted_keys=True)
     published = {t: store.table(t) for t in ("m_site", "b_recorder", "m_visit", "b_count", "m_site_geo")}
     mine = {t: df.where(F.col("bms_id").isin(*ids)) for t, df in published.items()}
     return LoadReport(

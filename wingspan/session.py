@@ -4,7 +4,9 @@ checkpoint folder every lineage cut goes to."""
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +64,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
 
 
+_SCRATCH_LOCK = threading.Lock()
+_SCRATCH_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared checkpoint folder (recorded so that a
+    ``scratch_scope`` can remove it once the load is published)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    with _SCRATCH_LOCK:
+        _SCRATCH_MADE.append(path)
+    return path
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete folders through the session's Hadoop file system (works for any
+    shared store the cluster mounts). Returns how many were removed."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()  # noqa: SLF001 - classic session handles
+    except Exception:  # remote session: leave clean-up to the folder's retention
+        return 0
+    removed = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        if path.getFileSystem(conf).delete(path, True):
+            removed += 1
+    return removed
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove every scratch folder created inside the block when it ends
+    (published or failed). Frames that still read those folders must not
+    be used afterwards; published tables are read from the store instead."""
+    with _SCRATCH_LOCK:
+        start = len(_SCRATCH_MADE)
+    try:
+        yield
+    finally:
+        with _SCRATCH_LOCK:
+            made = _SCRATCH_MADE[start:]
+            del _SCRATCH_MADE[start:]
+        drop_paths(spark, made)

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wingspan.plans import load as L
 from wingspan.plans.publish import Store
+from wingspan.session import scratch_scope
 from wingspan.sources.readers import Scheme, scheme_detail
 
 REQUEST_SCHEMA = ("bms_id string, country_iso3 string, country_name string, contact_name string, "
@@ -46,8 +47,9 @@ def load_requests(spark: SparkSession, store: Store, requests: list[dict], check
     if checklist is not None:
         counts = L.resolve_species(counts, checklist)
     marks = {t: store.high_water(t) for t in ("m_site", "b_recorder", "m_visit", "b_count")}
-    tables = L.load_tables(detail, L.SchemeSources(sites, visits, counts), starts=marks)
-    return store.replace_schemes(ids, tables, trusted_keys=True)
+    with scratch_scope(spark):  # numbering copies are removed once published (or refused)
+        tables = L.load_tables(detail, L.SchemeSources(sites, visits, counts), starts=marks)
+        return store.replace_schemes(ids, tables, trusted_keys=True)
 
 
 def start_feed(spark: SparkSession, request_dir: str, store: Store, checkpoint: str,
