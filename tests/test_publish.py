@@ -162,3 +162,13 @@ def test_trusted_keys_skip_only_constructed_checks(spark, store):
     assert ("b_count", "not_null") in res
     st.replace_schemes(["AA", "BB"], tables, trusted_keys=True)
     assert st.table("b_count").count() == 5
+
+
+def test_concurrent_publish_detected(spark, store):
+    st, f = store
+    other = P.Store(spark, st.root)          # a second loader on the same store
+    other.manifest()
+    st.replace_schemes(["AA", "BB"], _load(spark, _clean_counts(f)), trusted_keys=True)
+    with pytest.raises(P.PublishError, match="another loader"):
+        other.replace_schemes(["BB"], {"m_site": st.table("m_site").where("bms_id = 'BB'")}, check=False)
+    assert st.table("m_site").count() == 8

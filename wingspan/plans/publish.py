@@ -131,6 +131,13 @@ class Store:
         if self._cache is None:
             self.manifest()
         last = self._cache[0]
+        # optimistic check: another loader published since this load read the manifest
+        m = self._versions()
+        now = None if m is None else m.agg(F.max("version")).first()[0]
+        if now != last:
+            self._cache = None
+            raise PublishError(f"manifest moved from version {last} to {now} during the load: "
+                               "another loader published; nothing of this load was made current")
         version = 0 if last is None else last + 1
         rows = [(e["tbl"], e["bms_id"], e["load_id"], int(e["rows"]), int(e["high_water"])) for e in entries]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA).withColumn("version", F.lit(version))
