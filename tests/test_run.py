@@ -73,3 +73,32 @@ def test_scratch_removed_after_publish(spark, tmp_path):
     assert seen and len(S._SCRATCH_MADE) == before
     assert not any(os.path.exists(p.replace("file:", "")) for p in seen)
     assert store.table("b_count").count() == 6      # published data does not depend on the scratch
+
+
+def test_scratch_removed_when_load_refused(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from wingspan import session as S
+    f = frames(spark)
+    store = P.init_model(spark, str(tmp_path / "model3"))   # no species published: counts' species fail the reference
+    before = len(S._SCRATCH_MADE)
+    seen = []
+    orig = S.drop_paths
+
+    def spy(sp, paths):
+        seen.extend(paths)
+        return orig(sp, paths)
+
+    S.drop_paths = spy
+    try:
+        import wingspan.plans.run as run_mod
+        store.replace_schemes([], {"b_species_id": L.species_reference(f["checklist"]).where("species_id = 10")})
+        with pytest.raises(P.PublishError):
+            run_mod.load_schemes(spark, store, _csv(f, tmp_path), f["checklist"], SCHEMAS)
+    finally:
+        S.drop_paths = orig
+    assert seen and len(S._SCRATCH_MADE) == before
+    assert not any(os.path.exists(p.replace("file:", "")) for p in seen)
+    assert store.table("m_site").count() == 0
