@@ -172,3 +172,20 @@ def test_concurrent_publish_detected(spark, store):
     with pytest.raises(P.PublishError, match="another loader"):
         other.replace_schemes(["BB"], {"m_site": st.table("m_site").where("bms_id = 'BB'")}, check=False)
     assert st.table("m_site").count() == 8
+
+
+def test_vacuum_removes_only_superseded_loads(spark, store):
+    import os
+    st, f = store
+    first = st.replace_schemes(["AA", "BB"], _load(spark, _clean_counts(f)), trusted_keys=True)
+    before = sorted(rows(st.table("m_site")))
+    marks = {t: st.high_water(t) for t in ("m_site", "b_recorder", "m_visit", "b_count")}
+    st.replace_schemes(["AA", "BB"], _load(spark, _clean_counts(f), starts=marks), trusted_keys=True)
+    gone = st.superseded_loads()
+    assert gone and all(lid == first for _, lid in gone)
+    base = st.root.replace("file:", "")
+    existing = [t for t, lid in gone if os.path.exists(os.path.join(base, t, f"load_id={lid}"))]
+    assert existing and st.vacuum() == len(existing)     # loads emptied by cascade wrote no folder
+    assert not os.path.exists(os.path.join(st.root.replace("file:", ""), "m_site", f"load_id={first}"))
+    assert st.table("m_site").count() == len(before)          # current data untouched
+    assert st.superseded_loads() == gone                        # history kept; folders already gone

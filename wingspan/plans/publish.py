@@ -31,6 +31,7 @@ from wingspan.functions.geometry import ewkt
 from wingspan.operators.quality import model_checks
 from wingspan.plans.load import conform
 from wingspan.plans.model import MODEL, foreign_key_edges
+from wingspan.session import drop_paths
 
 GLOBAL = "__all__"  # bms_id partition value for tables that are not scheme-scoped
 
@@ -281,6 +282,22 @@ class Store:
         if bad:
             raise PublishError("load refused: " + ", ".join(f"{r['tbl']}.{r['check']}={r['n']}" for r in bad))
 
+    def superseded_loads(self) -> list[tuple[str, str]]:
+        """(table, load_id) pairs named by an earlier manifest version but not
+        by the current one: their folders are no longer read by anyone. Loads
+        never made current (in flight, or refused) are not listed."""
+        m = self._versions()
+        if m is None:
+            return []
+        current = {(e["tbl"], e["load_id"]) for e in self.manifest(refresh=True)}
+        ever = {(r["tbl"], r["load_id"]) for r in m.select("tbl", "load_id").distinct().collect()}
+        return sorted(ever - current)
+
+    def vacuum(self) -> int:
+        """Remove the folders of superseded loads (the storage half of the
+        source's VACUUM); returns how many folders were removed."""
+        return drop_paths(self.spark, [self._path(t, f"load_id={lid}") for t, lid in self.superseded_loads()])
+
     def export_snapshot(self, path: str, fmt: str = "parquet") -> list[str]:
         """K7: every model table's current rows under one new snapshot folder
         (fails if it exists); CSV renders points as EWKT text."""
