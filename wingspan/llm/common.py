@@ -5,14 +5,18 @@ with numpy over Arrow buffers inside Spark tasks."""
 from __future__ import annotations
 
 import gc
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import wingspan
 from wingspan.session import checkpoint_dir
 
 #: Word separators of the contracts: space and the controls tab to carriage return.
@@ -39,6 +43,26 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package sent to the executors first."""
+    ship(df.sparkSession)
+    return df.mapInArrow(f, schema)
+
+
+def ship(spark: SparkSession) -> None:
+    """Add this package to the session's Python files, once."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wingspan_shipped", False):
+        return
+    root = Path(wingspan.__file__).parent
+    path = f"{tempfile.mkdtemp(prefix='wingspan-py-')}/wingspan_package.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"wingspan/{p.relative_to(root)}")
+    sc.addPyFile(path)
+    sc._wingspan_shipped = True  # noqa: SLF001
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver notice that earlier frames are gone, so that the context
     cleaner removes their shuffle files now, not at the next full collection."""

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import stage, table
+from wingspan.llm.common import map_arrow, stage, table
 
 #: Length classes of the pattern grid, and pieces in a pattern at most.
 CLASSES = 256
@@ -141,8 +141,8 @@ def encode_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_
                     names=[id_col, "piece", "start", "length", "ids_crc32", "task", "nth"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(
-        encode, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long")
+    return map_arrow(
+        docs.select(id_col, text_col), encode, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long")
 
 
 def patterns(classes: int, present: np.ndarray) -> np.ndarray:
@@ -343,7 +343,7 @@ def pack(spark: SparkSession, pieces: DataFrame, max_tokens: int = 4096) -> Data
                                              names=[*keep, "sequence_id", "offset"])
 
     kinds = ", ".join(f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in keep)
-    return numbered.select(*keep, "nth").mapInArrow(place, kinds + ", sequence_id long, offset long")
+    return map_arrow(numbered.select(*keep, "nth"), place, kinds + ", sequence_id long, offset long")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:

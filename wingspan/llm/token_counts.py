@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import table
+from wingspan.llm.common import map_arrow, table
 
 NONE = np.int32(2**31 - 1)
 #: Pre-tokens whose counts a worker remembers.
@@ -184,7 +184,7 @@ def count_tokens(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
     src = docs.select(F.col(id_col), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
                       F.col(text_col))
     kind = docs.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(counts, f"`{id_col}` {kind}, n_bytes long, n_tokens long")
+    return map_arrow(src, counts, f"`{id_col}` {kind}, n_bytes long, n_tokens long")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
