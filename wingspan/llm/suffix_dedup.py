@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from wingspan.llm.common import U, binary_rows, map_arrow, mix, prefix, row_key, sliding_min, stage, table
 
 #: Bytes of an anchor, and members of a group that is sorted without splitting.
-GRAM, GROUP = 64, 1000
+GRAM, GROUP = 64, 10_000
 #: Equal anchors in a batch from which on they count as frequent.
 FREQUENT = 64
 #: Multikey quicksort: bytes of a key, depth, and group size that goes to a trie at once.
