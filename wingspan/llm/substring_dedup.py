@@ -25,7 +25,6 @@ are read. Fingerprints have 64 bits over words of any length.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import binary_rows, grams, map_arrow, row_key, sliding_min, stage, table, word_hashes
+from wingspan.llm.common import binary_rows, grams, map_arrow, mix, row_key, sliding_min, stage, table, word_hashes
 
 _LAST = 2**63 - 1
 
@@ -59,9 +58,10 @@ def _groups(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _first_level(window: int):
-    """Rows (h, rid, doc, settled): the half-length fingerprints of a batch. What
-    two documents of the batch share is settled for them (settled = true, to be
-    kept as it is) and sent on as its smallest and largest document (rid NULL)."""
+    """Rows (key, rid, value, settled): the half-length fingerprints of a batch, with
+    the fingerprint as key and the document as value. What two documents of the
+    batch share is settled for them (another key for each row, the fingerprint as
+    value) and sent on as its smallest and largest document (rid NULL)."""
 
     def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -82,15 +82,14 @@ def _first_level(window: int):
             every = np.repeat(shared, size)
             single = start[~shared]  # equal ids only: one row stands for them ...
             rest = np.flatnonzero(~every & ~np.isin(np.arange(len(h)), single))  # ... and the others follow it
-            out_h = np.concatenate([h[every], h[start[shared]], h[start[shared]], h[single], h[rest]])
-            out_d = np.concatenate([d[every], low[shared], high[shared], d[single], d[rest]])
+            n = int(every.sum())
+            key = np.concatenate([mix(h[every] ^ r[every].view(np.uint64)), h[start[shared]], h[start[shared]], h[single], h[rest]])
+            value = np.concatenate([h[every].view(np.int64), low[shared], high[shared], d[single], d[rest]])
             out_r = np.concatenate([r[every], np.zeros(2 * shared.sum(), np.int64), r[single], r[rest]])
-            settled = np.zeros(len(out_h), bool)
-            settled[: every.sum()] = True
-            null = np.zeros(len(out_h), bool)
-            null[every.sum() : every.sum() + 2 * shared.sum()] = True
-            yield pa.RecordBatch.from_arrays([_long(out_h), pa.array(out_r, pa.int64(), mask=null), _long(out_d), pa.array(settled)],
-                                             names=["h", "rid", "doc", "settled"])
+            settled = np.arange(len(key)) < n
+            null = ~settled & (np.arange(len(key)) < n + 2 * shared.sum())
+            yield pa.RecordBatch.from_arrays([_long(key), pa.array(out_r, pa.int64(), mask=null), pa.array(value), pa.array(settled)],
+                                             names=["key", "rid", "value", "settled"])
 
     return level
 
@@ -149,11 +148,10 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, window: int = 13, id_
     copies = prints.join(first, ["a", "b", "n"]).where("doc > first").select("rid").distinct()
     copies = stage(spark, copies, "copies")
 
-    half = map_arrow(src, _first_level(window), "h long, rid long, doc long, settled boolean")
-    half = half.withColumn("hot", F.when(F.col("settled"), F.col("rid")).otherwise(F.col("h")))
-    w = Window.partitionBy("hot", "settled", F.when(F.col("settled"), F.col("h")))
-    seen = half.select("h", "rid", "settled", F.min("doc").over(w).alias("low"), F.max("doc").over(w).alias("high"))
-    seen = seen.where("rid is not null and (settled or low < high)").select("rid", "h")
+    half = map_arrow(src, _first_level(window), "key long, rid long, value long, settled boolean")
+    w = Window.partitionBy("key")
+    seen = half.select("*", *[f(F.when(~F.col("settled"), F.col("value"))).over(w).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))])
+    seen = seen.where("rid is not null and (settled or low < high)").select("rid", F.when(F.col("settled"), F.col("value")).otherwise(F.col("key")).alias("h"))
     halves = stage(spark, seen, "halves")
 
     todo = halves.join(copies, "rid", "left_anti").groupBy("rid").agg(F.collect_set("h").alias("known"))

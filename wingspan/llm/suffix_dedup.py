@@ -28,7 +28,6 @@ of anchors, and then of their bytes or of a second fingerprint.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
