@@ -117,7 +117,8 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, t: int = 8
     seeds = place.join(_bounded(stage(spark, known, "known")), "h").select("rid", "pos", "sizes")
     seeds = stage(spark, seeds, "seeds")
 
-    held = src.join(seeds.select("rid").distinct(), "rid")
+    # the same join at every size: texts are dealt by row key (a broadcast would end beyond its limit)
+    held = src.join(seeds.select("rid").distinct().hint("merge"), "rid")
     held = stage(spark, _with_shingles(held, "__text").select("rid", "id", "words", "sh"), "held").distinct()
     # windows of n words (of the whole text, if that is shorter) with enough places that hold known shingles
     full = F.least("n", "words")
