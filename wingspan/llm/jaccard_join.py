@@ -405,12 +405,13 @@ def _within_groups(group: DataFrame, sets: DataFrame, t: int) -> DataFrame:
         a, b = _joined(_arrays(rows, "shingles"), np.asarray(rows["node"].combine_chunks()), t)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return _per_group(_dealt(group.select("node", "group"), "group").join(sets, "node"), ["node", "shingles"], f, "a long, b long")
+    return _per_group(_dealt(group.select("node", "group"), "group").join(sets.hint("merge"), "node"), ["node", "shingles"], f, "a long, b long")
 
 
 def _sets_of(spark: SparkSession, nodes: DataFrame, src: DataFrame, signs: DataFrame, k: int) -> DataFrame:
     """(node, shingles) of some nodes, from the text of one row of each."""
-    texts = src.select("rid", "text").join(signs.join(nodes, "node").select("rid"), "rid").select("text")
+    # the same join at every size: texts are dealt by row key (a broadcast would end beyond its limit)
+    texts = src.select("rid", "text").join(signs.join(nodes, "node").select("rid").hint("merge"), "rid").select("text")
     return stage(spark, map_arrow(texts, _sets(k), "node long, shingles array<bigint>"), "sets")
 
 
@@ -426,7 +427,7 @@ def _plausible(pairs: DataFrame, signs: DataFrame, t: int) -> DataFrame:
         half = (F.size(c) / 2).cast("int")
         return F.when(F.size(c) > F.size(other), F.zip_with(F.slice(c, F.lit(1), half), F.slice(c, half + 1, half), xor)).otherwise(F.col(c))
 
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", fold("x", "y").alias("x"), fold("y", "x").alias("y"))
+    both = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").select("a", "b", "na", "nb", fold("x", "y").alias("x"), fold("y", "x").alias("y"))
     differ = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
     # similar enough: 100 * common >= t * (na + nb - common), with common <= (na + nb - differ) / 2
     return both.where((100 + t) * (F.col("na") + F.col("nb") - differ) >= 2 * t * (F.col("na") + F.col("nb"))).select("a", "b")
@@ -440,7 +441,7 @@ def _compare(pairs: DataFrame, sets: DataFrame, t: int) -> DataFrame:
     """The pairs that are similar enough, by their whole sets."""
     x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(x, "a").join(y, "b")
+    both = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= t * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
