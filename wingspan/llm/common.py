@@ -4,11 +4,13 @@ with numpy over Arrow buffers inside Spark tasks."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -44,9 +46,24 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package sent to the executors first."""
+    """``df.mapInArrow`` with this package sent to the executors first. A worker that
+    has finished a partition gives its free memory back, since it stays alive."""
     ship(df.sparkSession)
-    return df.mapInArrow(f, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+                trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
+def trimmed(known: dict, most: int = 50_000) -> dict:
+    """The entries of a worker's memory that came first (the most frequent ones)."""
+    return known if len(known) <= most else dict(islice(known.items(), most))
 
 
 def ship(spark: SparkSession) -> None:

@@ -101,8 +101,8 @@ def _profile(k: int):
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, nodes, sigs, held, seen = [], [], [], [], set()
-            for data in binary_rows(b.column(2)):
+            sizes, nodes, sigs, held, seen, freq = [], [], [], [], set(), []
+            for i, data in enumerate(binary_rows(b.column(2))):
                 s = shingles(data, k)
                 sizes.append(len(s))
                 nodes.append(_print(s))
@@ -110,8 +110,11 @@ def _profile(k: int):
                 if nodes[-1] not in seen:
                     seen.add(nodes[-1])
                     held.append(s)
-            v, c = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, U), np.empty(0, np.int64))
-            v, c = v[c > 1], c[c > 1]
+                if held and (i % 4000 == 3999 or i == b.num_rows - 1):
+                    v, c = np.unique(np.concatenate(held), return_counts=True)
+                    freq.append((v[c > 1], c[c > 1]))
+                    held = []
+            v, c = (np.concatenate([f[j] for f in freq]) if freq else np.empty(0, U if j == 0 else np.int64) for j in (0, 1))
             n = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.concat_arrays([b.column(j), pa.nulls(len(v), pa.int64())]) for j in (0, 1)), pa.array(sizes + [None] * len(v), pa.int64()),

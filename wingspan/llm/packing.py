@@ -37,12 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import map_arrow, stage, table
+from wingspan.llm.common import map_arrow, stage, table, trimmed
 
 #: Length classes of the pattern grid, and pieces in a pattern at most.
 CLASSES = 256
 #: Words whose ids a worker remembers.
-MEMORY = 400_000
+MEMORY = 300_000
 #: Marks between a letter and a space.
 _MARK = re.compile(r"(?<=[a-z\xe0-\xf6\xf8-\xff])([.,!?;:#$%&*]+) ")
 #: Texts whose lower case is one letter for one letter.
@@ -139,6 +139,7 @@ def encode_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_
                      pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64()),
                      pa.array([task] * len(rows), pa.int32()), pa.array(cols[5], pa.int64())],
                     names=[id_col, "piece", "start", "length", "ids_crc32", "task", "nth"])
+        encoder.known = trimmed(encoder.known)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_arrow(

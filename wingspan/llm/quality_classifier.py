@@ -42,7 +42,7 @@ from wingspan.llm.common import map_arrow, table
 BITS, SAMPLE = 20, 8000
 #: Least chi-square, with number of rows, of a feature that the model uses.
 SCREEN, LEAST = 25.0, 4
-MEMORY = 300_000
+MEMORY = 150_000
 _SHAPE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "A" * 26 + "0" * 10)
 _LETTERS = re.compile(r"[^\W\d_A]+")
 _RUNS = re.compile(r"(.)\1+")

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import map_arrow, table
+from wingspan.llm.common import map_arrow, table, trimmed
 
 NONE = np.int32(2**31 - 1)
 #: Pre-tokens whose counts a worker remembers.
@@ -180,6 +180,7 @@ def count_tokens(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(counter.texts(b.column(2).to_pylist()), pa.int64())],
                 names=[id_col, "n_bytes", "n_tokens"])
+        counter.known = trimmed(counter.known)
 
     src = docs.select(F.col(id_col), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
                       F.col(text_col))
