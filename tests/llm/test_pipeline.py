@@ -1,0 +1,24 @@
+"""The pipeline on the smallest driver tables: each stage's decisions take effect."""
+
+import os
+
+import pytest
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
+def test_stages(spark):
+    import corpus_pipeline as P
+    from wingspan.llm.common import table
+
+    docs = table(spark, SF, "documents")
+    columns, frame, seen = docs.columns, docs, [docs.count()]
+    for name, step in P.STAGES[:-1]:
+        frame = step(spark, frame, SF)
+        assert frame.columns == columns, name
+        frame = spark.createDataFrame(frame.collect(), docs.schema)
+        seen.append(frame.count())
+    assert seen[0] > seen[1] >= seen[2] >= seen[3] == seen[4] > 0
+    packed = P.STAGES[-1][1](spark, frame, SF)
+    assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in frame.collect()}
