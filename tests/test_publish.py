@@ -12,11 +12,12 @@ from wingspan.plans import publish as P
 
 def _load(spark, f, starts=None, only=None):
     counts = L.resolve_species(f["counts"], f["checklist"])
-    sites, visits = f["sites"], f["visits"]
+    sites, visits, schemes = f["sites"], f["visits"], f["schemes"]
     if only:
+        schemes = schemes.where(F.col("bms_id").isin(*only))
         sites, visits, counts = (x.where(F.col("bms_id").isin(*only)) for x in (sites, visits, counts))
     src = L.SchemeSources(sites, visits, counts)
-    return L.load_tables(f["schemes"], src, starts=starts)
+    return L.load_tables(schemes, src, starts=starts)
 
 
 @pytest.fixture()

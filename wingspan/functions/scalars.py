@@ -133,7 +133,9 @@ def assign_int(c: ColumnOrName) -> Column:
     decimal first. Out-of-range values give NULL.
     """
     col = _c(c)
-    return F.bround(col, 0).try_cast("int")
+    kind = F.typeof(col)  # a constant of the plan
+    exact = F.round(col.try_cast("decimal(38,18)"), 0).try_cast("int")
+    return F.when(kind.startswith("decimal") | (kind == "string"), exact).otherwise(F.bround(col, 0).try_cast("int"))
 
 
 def assign_int_decimal(c: ColumnOrName) -> Column:

@@ -6,6 +6,7 @@ Everything is a DataFrame plan. No operator collects data to the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,10 +23,12 @@ def _names(cols: Iterable[ColumnOrName]) -> list[Column]:
 def asc_last(cols: Iterable[ColumnOrName]) -> list[Column]:
     """O1: ascending, NULLs last (the SQL default this model was written for).
 
-    Plain names become ``asc_nulls_last``; Column objects that already carry a
-    direction are kept as given.
+    Names and Column objects become ``asc_nulls_last``; a Column that already
+    carries a direction is kept as given.
     """
-    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
+    directed = re.compile(r"(ASC|DESC) NULLS (FIRST|LAST)'>$")
+    given = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return [c if directed.search(str(c)) else c.asc_nulls_last() for c in given]
 
 
 def sort_nulls_last(df: DataFrame, cols: Sequence[ColumnOrName]) -> DataFrame:

@@ -243,7 +243,7 @@ ORACLE: dict[str, str] = {
         FROM g""",
     "observer_fanout": """
         WITH v AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT'
-                                           THEN lpad(CAST(o_custkey AS VARCHAR), 5, '0')
+                                           THEN '0' || CAST(o_custkey AS VARCHAR)
                                            ELSE CAST(o_custkey AS VARCHAR) END AS obs
                    FROM orders),
         r AS (SELECT obs, row_number() OVER (ORDER BY obs) AS recorder_id FROM (SELECT DISTINCT obs FROM v)),
@@ -260,7 +260,7 @@ ORACLE: dict[str, str] = {
     "load_warnings": """
         WITH sr AS (SELECT r_name, s_suppkey, s_nationkey, s_acctbal FROM supplier
                     JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-        v AS (SELECT DISTINCT CASE WHEN o_orderpriority = '1-URGENT' THEN lpad(CAST(o_custkey AS VARCHAR), 5, '0')
+        v AS (SELECT DISTINCT CASE WHEN o_orderpriority = '1-URGENT' THEN '0' || CAST(o_custkey AS VARCHAR)
                                    ELSE CAST(o_custkey AS VARCHAR) END AS obs FROM orders)
         SELECT 'duplicate_bms_site_id' AS warning, count(*) AS n
           FROM (SELECT r_name, s_suppkey FROM sr GROUP BY 1, 2 HAVING count(*) > 1)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,7 +112,9 @@ class Store:
     def _versions(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(MANIFEST_SCHEMA + ", version long").parquet(self._path("_manifest"))
-        except Exception:  # no manifest yet
+        except AnalysisException as exc:  # no manifest yet; any other error is raised
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def manifest(self, refresh: bool = False) -> list[dict]:
@@ -190,7 +193,7 @@ class Store:
         Rows are appended under a new load id, checked (keys, NOT NULL,
         lengths, references among the loaded tables and the published
         parents), and only then made current by a new manifest version.
-        Frames may be empty for a scheme: it then has no rows in that table.
+        A row of a scheme that is not named refuses the load. Frames may be empty for a scheme: it then has no rows in that table.
         Cascade: a scheme-scoped table that references a replaced table and
         is not itself in ``frames`` loses the scheme's rows, counted in
         ``last_cascade``; other schemes are never touched. ``last_audit``
@@ -209,22 +212,28 @@ class Store:
             df = conform(df, name)
             b = F.col("bms_id") if "bms_id" in df.columns else F.lit(GLOBAL)
             out = df.withColumn("bms_id", b).withColumn("load_id", F.lit(load_id))
-            out = out.where(F.col("bms_id").isin(*scheme_ids)) if spec.scheme_scoped else out
             cols = [c for c in spec.schema.names if c != "bms_id"] + ["load_id", "bms_id"]
             out.select(*cols).write.mode("append").partitionBy("load_id", "bms_id").parquet(self._path(name))
             try:
                 written[name] = self._read_loads(name, [load_id]).drop("load_id")
-            except Exception:  # nothing written: an empty reload
+            except AnalysisException as exc:  # nothing written: an empty reload
+                if exc.getCondition() != "PATH_NOT_FOUND":
+                    raise
                 written[name] = self.spark.createDataFrame([], self._read_schema(name)).drop("load_id")
         if check:
             self._check(written, entries, list(frames) if trusted_keys else [])
         stats = self._load_stats(written)
+        outside = sorted((t, str(b), n) for (t, b), (n, _) in stats.items() if MODEL[t].scheme_scoped and b not in scheme_ids)
+        if outside:  # never dropped silently
+            raise PublishError("load refused: rows of other schemes: " + ", ".join(f"{t}.{b}={n}" for t, b, n in outside))
         self.last_audit = [(t, b, n) for (t, b), (n, _) in sorted(stats.items())]
         hw = {name: self._hw(entries, name) for name in list(written) + cascaded}
         for (t, _), (_, top) in stats.items():
             hw[t] = max(hw[t], int(top or 0))
         replaced = set(written) | set(cascaded)
-        keep = [dict(e) for e in entries if not (e["tbl"] in replaced and e["bms_id"] in scheme_ids)]
+        # a global table is replaced as a whole, a scheme-scoped one scheme by scheme
+        keep = [dict(e) for e in entries if not (
+            e["tbl"] in replaced and (e["bms_id"] in scheme_ids or not MODEL[e["tbl"]].scheme_scoped))]
         for e in keep:
             if e["tbl"] in hw:
                 e["high_water"] = hw[e["tbl"]]

@@ -419,12 +419,12 @@ def q_geo_dim(spark, sf):
 
 
 def _text_observer_visits(spark, sf):
-    """Visits whose observer code is text; urgent orders write it zero-padded,
-    so one customer can appear as two codes that meet as one integer."""
+    """Visits whose observer code is text; urgent orders write it with a leading
+    zero, so one customer can appear as two codes that meet as one integer."""
     o = table(spark, sf, "orders")
     code = F.col("o_custkey").cast("string")
     return o.select(F.col("o_orderkey").alias("bms_visit_id"),
-                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lpad(code, 5, "0")).otherwise(code)
+                    F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("0"), code)).otherwise(code)
                     .alias("bms_observer_id"),
                     F.lit("T").alias("transect_id"), F.lit("2024-1-1").alias("visit_date"))
 
