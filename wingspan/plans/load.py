@@ -95,6 +95,24 @@ def resolve_species(counts: DataFrame, checklist: DataFrame, name_col: str = "sc
     return merge_left(base, broadcast_if_small(k), [(name_col, "Search_Name")])
 
 
+def unknown_species(counts: DataFrame, name_col: str = "sci_name") -> DataFrame:
+    """Names of resolved counts (C2) that led to no species, ``(bms_id, sci_name, n)``:
+    their counts are published without a species."""
+    left = counts.where(F.col(name_col).isNotNull() & F.col("species_id").isNull())
+    return left.groupBy("bms_id", F.col(name_col).alias("sci_name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def load_rejects(visits: DataFrame) -> DataFrame:
+    """F8: visit values that a load cannot read and publishes as NULL,
+    ``(bms_id, col, value, n)``; the source system stops at the first one.
+    ``visits`` are cleaned (C3). One scan, hash-aggregated by value."""
+    read = {"visit_date": parse_date, "start_time": clock_to_minute, "end_time": clock_to_minute, "completed": parse_bool}
+    tried = [F.when(F.col(c).isNotNull() & f(c).isNull(), F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")))
+             for c, f in read.items() if c in visits.columns]
+    bad = visits.select("bms_id", F.explode(F.array_compact(F.array(*tried))).alias("r")).select("bms_id", "r.col", "r.value")
+    return bad.groupBy("bms_id", "col", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- C3 -----------------------------------------------------------------------
 def clean_visits(visits: DataFrame) -> DataFrame:
     """Clock strings normalised, missing recorder code set to the sentinel,

@@ -56,6 +56,22 @@ def _fk(cols, parent, pcols) -> ForeignKey:
     return ForeignKey(tuple(cols), parent, tuple(pcols))
 
 
+# Checklist columns in file order (the bulk load reads them by position).
+CHECKLIST_COLUMNS: list[tuple[str, str]] = [
+    ("Search_Genus", "string"), ("Search_Species_Epithet", "string"), ("Search_Name", "string"),
+    ("Accepted_Name", "string"), ("Systematic_Order", "int"), ("Family", "string"), ("Subfamily", "string"),
+    ("Genus", "string"), ("Name", "string"), ("Species_Epithet", "string"), ("Author_Year", "string"),
+    ("Author", "string"), ("Year", "int"), ("Full_Name", "string"), ("Aggregate", "boolean"),
+    ("Synonym_Search_Name", "boolean"), ("Synonym_Source", "string"), ("Species_Search_Name", "boolean"),
+    ("GBIFusageKey", "int"), ("GBIFscientificName", "string"), ("GBIFrank", "string"), ("GBIForder", "string"),
+    ("GBIFmatchType", "string"), ("GBIFphylum", "string"), ("GBIFkingdom", "string"), ("GBIFgenus", "string"),
+    ("GBIFclass", "string"), ("GBIFconfidence", "int"), ("GBIFsynonym", "boolean"), ("GBIFstatus", "string"),
+    ("GBIFfamily", "string"),
+]
+
+CHECKLIST = "species_checklist2019_gbif"
+_CHECKLIST_TYPES = {"string": S, "int": I, "boolean": B}
+
 # Table names, column names, types and keys of the published model.
 MODEL: dict[str, TableSpec] = {
     "bms_detail": _spec(
@@ -135,21 +151,12 @@ MODEL: dict[str, TableSpec] = {
         foreign_keys=(_fk(["visit_id"], "m_visit", ["visit_id"]), _fk(["site_id"], "m_site", ["site_id"]),
                       _fk(["species_id"], "b_species_id", ["species_id"])),
         comment="Counts per visit, section and species"),
+    CHECKLIST: _spec(
+        CHECKLIST, [_f(n, _CHECKLIST_TYPES[t]) for n, t in CHECKLIST_COLUMNS],
+        varchar=tuple(n for n, t in CHECKLIST_COLUMNS if t == "string"), scheme_scoped=False,
+        comment="Species checklist as delivered; search names lead to accepted names"),
 }
 
-# Checklist columns in file order (the bulk load reads them by position).
-CHECKLIST_COLUMNS: list[tuple[str, str]] = [
-    ("Search_Genus", "string"), ("Search_Species_Epithet", "string"), ("Search_Name", "string"),
-    ("Accepted_Name", "string"), ("Systematic_Order", "int"), ("Family", "string"), ("Subfamily", "string"),
-    ("Genus", "string"), ("Name", "string"), ("Species_Epithet", "string"), ("Author_Year", "string"),
-    ("Author", "string"), ("Year", "int"), ("Full_Name", "string"), ("Aggregate", "boolean"),
-    ("Synonym_Search_Name", "boolean"), ("Synonym_Source", "string"), ("Species_Search_Name", "boolean"),
-    ("GBIFusageKey", "int"), ("GBIFscientificName", "string"), ("GBIFrank", "string"), ("GBIForder", "string"),
-    ("GBIFmatchType", "string"), ("GBIFphylum", "string"), ("GBIFkingdom", "string"), ("GBIFgenus", "string"),
-    ("GBIFclass", "string"), ("GBIFconfidence", "int"), ("GBIFsynonym", "boolean"), ("GBIFstatus", "string"),
-    ("GBIFfamily", "string"),
-]
-
 # Tables of one scheme, parents before children (load order; deletes go in reverse).
 SCHEME_TABLES = ["bms_detail", "m_site", "b_recorder", "m_visit", "b_count", "m_site_geo", "m_site_habitat"]
 

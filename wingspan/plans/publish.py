@@ -20,6 +20,7 @@ so ids never go back even when the highest rows were replaced.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from wingspan.functions.geometry import ewkt
 
-from wingspan.operators.quality import model_checks
+from wingspan.operators.quality import fk_violations, model_checks
 from wingspan.plans.load import conform
 from wingspan.plans.model import MODEL, foreign_key_edges
 from wingspan.session import drop_paths
@@ -261,9 +262,11 @@ class Store:
 
     @staticmethod
     def _cascade_targets(frames: dict[str, DataFrame]) -> list[str]:
-        """ON DELETE CASCADE: scheme-scoped tables that reference a replaced
-        table (transitively) and are not reloaded lose the scheme's rows."""
-        hit = set(frames)
+        """ON DELETE CASCADE: scheme-scoped tables that reference a replaced,
+        scheme-scoped table (transitively) and are not reloaded lose the scheme's
+        rows. A new version of a global table never removes rows of a scheme: it is
+        refused if it would leave orphans (``violations``)."""
+        hit = {name for name in frames if MODEL[name].scheme_scoped}
         changed = True
         while changed:
             changed = False
@@ -278,16 +281,28 @@ class Store:
         """Rows each cascaded table loses: read from the manifest, no job."""
         return {t: sum(e["rows"] for e in entries if e["tbl"] == t and e["bms_id"] in scheme_ids) for t in cascaded}
 
-    def _check(self, written: dict[str, DataFrame], entries: list[dict], trusted: list[str] = ()) -> None:
-        """Q1-Q4 on the new rows; references checked against new rows of the
-        same load or the currently published parents. One job."""
-        parents = {}
-        for name in written:
-            for fk in MODEL[name].foreign_keys:
-                if fk.parent not in written and any(e["tbl"] == fk.parent for e in entries):
-                    parents[fk.parent] = self.table(fk.parent, entries)
-        res = model_checks({**written, **parents}, only=list(written), trusted=trusted)
-        bad = res.where(F.col("n") > 0).collect()
+    def violations(self, frames: dict[str, DataFrame], entries: list[dict] | None = None,
+                   trusted: Sequence[str] = ()) -> DataFrame:
+        """Q1-Q4 on new rows, ``(tbl, check, n)``. References are checked against
+        the new rows of the same load or the published parents; a parent that was
+        never published is an empty parent. A new version of a global table
+        (species, habitats) must keep every row that published children name."""
+        entries = self.manifest() if entries is None else entries
+        parents = {fk.parent: self.table(fk.parent, entries)
+                   for name in frames for fk in MODEL[name].foreign_keys if fk.parent not in frames}
+        res = model_checks({**frames, **parents}, only=list(frames), trusted=trusted)
+        for child, fk in foreign_key_edges():
+            if fk.parent in frames and child not in frames and not MODEL[fk.parent].scheme_scoped and any(
+                    e["tbl"] == child and e["rows"] > 0 for e in entries):
+                orphans = fk_violations(self.table(child, entries), frames[fk.parent],
+                                        list(zip(fk.columns, fk.parent_columns)))
+                res = res.unionByName(orphans.agg(F.count(F.lit(1)).alias("n")).select(
+                    F.lit(child).alias("tbl"), F.lit(f"orphan_{'_'.join(fk.columns)}").alias("check"), "n"))
+        return res
+
+    def _check(self, written: dict[str, DataFrame], entries: list[dict], trusted: Sequence[str] = ()) -> None:
+        """Refuse the load on any violation. One job."""
+        bad = self.violations(written, entries, trusted).where(F.col("n") > 0).collect()  # at most one row per check
         if bad:
             raise PublishError("load refused: " + ", ".join(f"{r['tbl']}.{r['check']}={r['n']}" for r in bad))
 

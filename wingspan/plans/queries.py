@@ -246,6 +246,49 @@ def q_scheme_replace(spark, sf):
     return store.table("m_site").select("site_id", "bms_id", "bms_site_id")
 
 
+def q_species_replace(spark, sf):
+    part = table(spark, sf, "part")
+    store = P.Store(spark, scratch_path(spark, "store"))
+    for aggregate in (F.col("p_size") > 25, F.col("p_size") <= 25):  # the second load replaces the first
+        store.replace_schemes([], {"b_species_id": L.species_reference(part.select(
+            F.col("p_partkey").alias("Systematic_Order"), F.concat_ws(" ", "p_name", "p_partkey").alias("Accepted_Name"),
+            aggregate.alias("Aggregate")))})
+    return store.table("b_species_id")
+
+
+def q_store_refusal(spark, sf):
+    """Counts offered to a store that has large parts as species, no visits and no sites."""
+    part, li = table(spark, sf, "part"), table(spark, sf, "lineitem")
+    store = P.Store(spark, scratch_path(spark, "store"))
+    store.replace_schemes([], {"b_species_id": L.species_reference(part.where(F.col("p_size") > 25).select(
+        F.col("p_partkey").alias("Systematic_Order"), F.concat_ws(" ", "p_name", "p_partkey").alias("Accepted_Name"),
+        F.lit(False).alias("Aggregate")))})
+    counts = L.conform(li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("count_id"), F.col("l_orderkey").alias("visit_id"),
+                                 F.col("l_suppkey").alias("site_id"), F.col("l_partkey").alias("species_id"),
+                                 F.when(F.col("l_linenumber") < 7, F.col("l_quantity")).alias("butterfly_count")), "b_count")
+    return store.violations({"b_count": counts}).where(F.col("check") != "primary_key").select("tbl", "check", "n")
+
+
+def q_unknown_species(spark, sf):
+    li, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    counts = li.join(part, li.l_partkey == part.p_partkey).select(
+        F.col("l_returnflag").alias("bms_id"), F.concat_ws(" ", "p_name", "p_size").alias("sci_name"))
+    checklist = R.with_ordinal(part).where(F.col("p_size") > 25).select(
+        F.concat_ws(" ", "p_name", "p_size").alias("Search_Name"), F.col("p_name").alias("Accepted_Name"),
+        F.col("p_partkey").alias("Systematic_Order"), "_ordinal")
+    return L.unknown_species(L.resolve_species(counts, checklist))
+
+
+def q_load_rejects(spark, sf):
+    o = table(spark, sf, "orders")
+    visits = o.select(F.col("o_orderstatus").alias("bms_id"),
+                      F.when(F.col("o_orderpriority") == "5-LOW", F.lit("2023-13-45")).otherwise("2023-6-1").alias("visit_date"),
+                      F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("25:"), F.col("o_orderstatus"))).alias("start_time"),
+                      F.lit("10:30").alias("end_time"),
+                      F.when(F.col("o_totalprice") > 100000, F.lit("maybe")).otherwise("yes").alias("completed"))
+    return L.load_rejects(visits)
+
+
 def q_update_from(spark, sf):
     s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
     target = s.select("s_suppkey", "s_nationkey", F.col("s_name").alias("label"))
@@ -487,6 +530,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delete_in": q_delete_in,
     "cascade_delete": q_cascade_delete,
     "scheme_replace": q_scheme_replace,
+    "species_replace": q_species_replace,
+    "store_refusal": q_store_refusal,
+    "unknown_species": q_unknown_species,
+    "load_rejects": q_load_rejects,
     "update_from": q_update_from,
     "flag_by_level": q_flag_by_level,
     "parse_time_lenient": q_parse_time_lenient,

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from wingspan.operators.quality import load_warnings
 from wingspan.plans import load as L
-from wingspan.plans.publish import Store, load_audit
+from wingspan.plans.model import CHECKLIST
+from wingspan.plans.publish import PublishError, Store, load_audit
 from wingspan.session import scratch_scope
 from wingspan.sources.readers import Scheme, read_raw, scheme_detail
 
@@ -39,16 +40,35 @@ class LoadReport:
     dropped_counts: DataFrame  # counts with no visit or no site
     warnings: DataFrame  # fan-out traps and suspicious values
     cascade: dict  # rows removed from children that were not reloaded
+    unknown_species: DataFrame  # names without a species: (bms_id, sci_name, n)
+    rejects: DataFrame  # malformed records and unreadable visit values: (bms_id, col, value, n)
+
+
+def load_reference(store: Store, checklist: DataFrame) -> str:
+    """Publish the checklist and the species table built from it, together and
+    before any scheme; a later checklist replaces both."""
+    return store.replace_schemes([], {CHECKLIST: checklist, "b_species_id": L.species_reference(checklist)})
+
+
+def malformed(df: DataFrame) -> DataFrame:
+    """Malformed records of a raw table, as ``(bms_id, col, value, n)``. Every column is
+    named, since the CSV reader only looks at columns that a query uses."""
+    others = [F.col(c).cast("string") for c in df.columns if c != "_corrupt_record"]
+    bad = df.where(F.col("_corrupt_record").isNotNull() & (F.concat_ws(",", *others) >= ""))  # the second always holds
+    return bad.groupBy("bms_id", F.lit("_corrupt_record").alias("col"), F.col("_corrupt_record").alias("value")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, SchemeFiles],
-                 checklist: DataFrame, schemas: dict[str, str] | None = None) -> LoadReport:
+                 checklist: DataFrame, schemas: dict[str, str] | None = None, strict: bool = False) -> LoadReport:
     """Load every delivered scheme in one job and replace them in the store.
 
     ``checklist`` needs ``Search_Name``, ``Accepted_Name``, ``Systematic_Order``
     and the file ordinal ``_ordinal`` (``read_checklist`` provides them).
     ``schemas`` may declare the raw tables' DDL (``sites``/``visits``/``counts``);
-    without it types are inferred, which reads each file twice.
+    without it types are inferred, which reads each file twice. ``strict``
+    refuses a delivery with rejects, as the source system does; otherwise they
+    are listed in the report.
     """
     schemas = schemas or {}
     ids = [s.bms_id for s in deliveries]
@@ -59,14 +79,23 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
         out = frames[0]
         for x in frames[1:]:
             out = out.unionByName(x, allowMissingColumns=True)
-        return out.drop("_corrupt_record")
+        return out
+
+    def lines(kind: str) -> DataFrame:
+        return raw(kind).drop("_corrupt_record")
 
     detail = scheme_detail(spark, list(deliveries))
-    visits = L.clean_visits(raw("visits"))
-    counts = L.resolve_species(raw("counts"), checklist)
+    visits = L.clean_visits(lines("visits"))
+    counts = L.resolve_species(lines("counts"), checklist)
     entries = store.manifest()
     starts = {t: store._hw(entries, t) for t in SEQUENCES}
-    src = L.SchemeSources(raw("sites"), visits, counts)
+    src = L.SchemeSources(lines("sites"), visits, counts)
+    rejects = L.load_rejects(visits)
+    for kind in ("sites", "visits", "counts"):
+        if "_corrupt_record" in (frame := raw(kind)).columns:
+            rejects = rejects.unionByName(malformed(frame))
+    if strict and (n := rejects.agg(F.sum("n")).first()[0]):
+        raise PublishError(f"load refused: {n} rejected values")
     with scratch_scope(spark):  # numbering copies are removed once published (or refused)
         tables = L.load_tables(detail, src, starts=starts)
         load_id = store.replace_schemes(ids, tables, trusted_keys=True)
@@ -78,6 +107,8 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
         dropped_counts=L.unmatched_counts(counts, mine["m_visit"], mine["m_site"]),
         warnings=load_warnings(mine["m_site"], mine["b_recorder"], mine["m_site_geo"]),
         cascade=dict(store.last_cascade or {}),
+        unknown_species=L.unknown_species(counts),
+        rejects=rejects,
     )
 
 
