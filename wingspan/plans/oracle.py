@@ -76,11 +76,11 @@ ORACLE: dict[str, str] = {
                CAST(round_even(v.o_totalprice / 5000.0, 0) AS INTEGER) AS visit_cloud
         FROM v LEFT JOIN r ON CAST(v.o_orderkey AS INTEGER) = CAST(r.obs AS INTEGER)""",
     "count_fact": """
-        WITH s AS (SELECT row_number() OVER (ORDER BY 'EUROPE.' || CAST(s_nationkey AS VARCHAR), s_name, s_suppkey)
-                          AS site_id, s_suppkey
-                   FROM supplier WHERE s_nationkey < 10),
-        v AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS visit_id, o_orderkey
-              FROM orders WHERE o_orderstatus = 'F'),
+        WITH s AS (SELECT row_number() OVER (ORDER BY 'EUROPE.' || CAST(s_nationkey AS VARCHAR), s_name,
+                          CASE WHEN s_nationkey < 10 THEN s_suppkey ELSE -s_suppkey END) AS site_id, CASE WHEN s_nationkey < 10 THEN s_suppkey ELSE -s_suppkey END AS s_suppkey
+                   FROM supplier),
+        v AS (SELECT row_number() OVER (ORDER BY k) AS visit_id, k AS o_orderkey
+              FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderkey ELSE -o_orderkey END AS k FROM orders)),
         c AS (SELECT v.visit_id, s.site_id, CAST(l_partkey AS INTEGER) AS species_id,
                      CAST(round_even(l_quantity, 0) AS INTEGER) AS butterfly_count
               FROM lineitem JOIN v ON v.o_orderkey = l_orderkey JOIN s ON s.s_suppkey = l_suppkey)

@@ -160,13 +160,13 @@ def q_visit_fact(spark, sf):
 
 
 def _one_scheme_load(spark, sf):
+    # every supplier and order is loaded; those whose id is negated are parents that no count names
     detail = schemes_from_regions(spark, sf)
-    s = table(spark, sf, "supplier").where(F.col("s_nationkey") < 10)
-    sites = s.select(F.col("s_nationkey").alias("transect_id"), F.col("s_name").alias("section_id"),
-                     F.col("s_suppkey").alias("bms_site_id"))
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    visits = o.select(F.col("o_orderkey").alias("bms_visit_id"), F.col("o_custkey").alias("bms_observer_id"),
-                      F.lit("T").alias("transect_id"))
+    s, o = table(spark, sf, "supplier"), table(spark, sf, "orders")
+    site = F.when(F.col("s_nationkey") < 10, F.col("s_suppkey")).otherwise(-F.col("s_suppkey"))
+    sites = s.select(F.col("s_nationkey").alias("transect_id"), F.col("s_name").alias("section_id"), site.alias("bms_site_id"))
+    visit = F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")).otherwise(-F.col("o_orderkey"))
+    visits = o.select(visit.alias("bms_visit_id"), F.col("o_custkey").alias("bms_observer_id"), F.lit("T").alias("transect_id"))
     li = table(spark, sf, "lineitem")
     counts = li.select(F.col("l_orderkey").alias("bms_visit_id"), F.col("l_suppkey").alias("bms_site_id"),
                        F.col("l_partkey").alias("species_id"), F.col("l_quantity").alias("count"))
