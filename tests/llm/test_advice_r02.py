@@ -1,0 +1,26 @@
+"""Cases of the second review: results that were cut before."""
+
+import random
+
+from wingspan.llm.secrets import redact
+
+
+def clean(spark, texts):
+    """The redacted texts, in order."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["text"] for r in redact(docs).orderBy("doc_id").collect()]
+
+
+def keys(n, length, alphabet, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(length)) for _ in range(n)]
+
+
+def test_a_joined_hex_key_is_found_like_a_bare_one(spark):
+    some = keys(40, 40, "0123456789ABCDEF", 1) + keys(40, 22, "0123456789abcdef", 2) + keys(40, 32, "0123456789abcdefABCDEF", 3)
+    whole = [k for k, x in zip(some, clean(spark, some), strict=True) if x == "[SECRET]"]
+    assert len(whole) > 60
+    for before, after in (("sig=", ""), ("id_", ""), ("X-", "-y"), ("", "/tail"), ("key", "-")):
+        for x in clean(spark, [f"see {before}{k}{after} there" for k in whole]):
+            left, right = x.removeprefix("see ").removesuffix(" there").split("[SECRET]")
+            assert before.startswith(left) and after.endswith(right)

@@ -7,9 +7,12 @@ digit in it. A fold over its characters keeps the count of every character in
 the current window and the sum of c*log2(c), both changed only by the character
 that enters and the one that leaves; a window is suspicious where its entropy
 reaches the limit of the candidate's class (hex digits, letters and digits, or
-the base64 set). The span runs from the first suspicious window's start to the
-last one's end. Candidates that match an allow-list pattern, or that overlap a
-base finding, add nothing. The base findings are three fixed patterns.
+the base64 set). The longest parts of a run that hold only hex digits, or only
+letters and digits, are candidates of their own class, so a key joined to a name
+is found like a bare one. The span runs from the first suspicious window's start
+to the last one's end; spans of one run that meet are one. Candidates that match
+an allow-list pattern, or that overlap a base finding, add nothing. The base
+findings are three fixed patterns.
 
 Everything is a DataFrame expression on one row, so the scan is one pass with no
 shuffle; texts without a match of the first, cheap test skip the rest.
@@ -59,6 +62,8 @@ class Entropy:
 #: Scale of the whole numbers that stand for c*log2(c), so that sums are exact.
 SCALE = 1 << 20
 KEY_RUN = "[A-Za-z0-9+/_=-]"
+#: Classes whose parts of a run are candidates too.
+PURE = ("[A-Za-z0-9]", "[0-9a-fA-F]")
 
 
 def _matches(text: Column, pattern: str, group: int) -> Column:
@@ -120,6 +125,26 @@ def _hot(value: Column, e: Entropy) -> Column:
     return F.aggregate(steps, zero, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
+def _joined(spans: Column) -> Column:
+    """Sorted spans, those that overlap or touch as one."""
+    zero = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        one = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end")))
+        return F.when(last["end"] >= s["start"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), one)).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), zero, step)
+
+
+def _parts(m: Column, e: Entropy) -> Column:
+    """array<struct<start, end, value>>: a run and its longest parts of one class."""
+    own = F.struct(m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"))
+    pure = [F.transform(_matches(m["value"], f"{c}{{{e.window},}}", 0), lambda x: F.struct(
+        (m["start"] + x["start"]).alias("start"), (m["start"] + x["end"]).alias("end"), x["value"].alias("value"))) for c in PURE]
+    return F.array_distinct(F.concat(F.array(own), *pure))
+
+
 def _added(text: Column, base: Column, e: Entropy) -> Column:
     found = _matches(text, f"({KEY_RUN}{{{e.window},}})", 1)
     keep = F.filter(found, lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]"))
@@ -127,11 +152,15 @@ def _added(text: Column, base: Column, e: Entropy) -> Column:
         allowed = "|".join(f"(?:{p})" for p in e.allow)
         keep = F.filter(keep, lambda m: ~m["value"].rlike(allowed))
     keep = F.filter(keep, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])))
+    keep = F.flatten(F.transform(keep, lambda m: _parts(m, e)))
+    keep = F.filter(keep, lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]"))
+    if e.allow:
+        keep = F.filter(keep, lambda m: ~m["value"].rlike(allowed))
     hot = F.transform(keep, lambda m: F.struct(m["start"].alias("at"), _hot(m["value"], e).alias("w")))
     hot = F.filter(hot, lambda h: h["w"]["first"] >= 0)
-    return F.transform(hot, lambda h: F.struct(
-        (h["at"] + h["w"]["first"]).alias("start"), F.lit(len(BASE)).alias("order"),
-        (h["at"] + h["w"]["last"] + e.window).alias("end"), F.lit("entropy").alias("kind")))
+    hot = F.transform(hot, lambda h: F.struct((h["at"] + h["w"]["first"]).alias("start"), (h["at"] + h["w"]["last"] + e.window).alias("end")))
+    return F.transform(_joined(hot), lambda s: F.struct(
+        s["start"].alias("start"), F.lit(len(BASE)).alias("order"), s["end"].alias("end"), F.lit("entropy").alias("kind")))
 
 
 def scan(docs: DataFrame, entropy: Entropy = Entropy(), text_col: str = "text", to: str = "secrets") -> DataFrame:
