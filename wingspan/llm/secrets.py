@@ -10,9 +10,12 @@ reaches the limit of the candidate's class (hex digits, letters and digits, or
 the base64 set). The longest parts of a run that hold only hex digits, or only
 letters and digits, are candidates of their own class, so a key joined to a name
 is found like a bare one. The span runs from the first suspicious window's start
-to the last one's end; spans of one run that meet are one. Candidates that match
-an allow-list pattern, or that overlap a base finding, add nothing. The base
-findings are three fixed patterns.
+to the last one's end; spans of one run that meet are one. A window
+that holds a match of an allow-list pattern adds nothing, nor does one that lies
+in matches and what stands between them, if that is allowed too; the rest of the
+run is scanned. The base findings are three fixed patterns. Base findings are cut
+out of a run and what is left is scanned; a part of one class that goes on beyond
+a base finding is scanned whole, and adds nothing if its span lies in the finding.
 
 Everything is a DataFrame expression on one row, so the scan is one pass with no
 shuffle; texts without a match of the first, cheap test skip the rest.
@@ -93,9 +96,10 @@ def _spans(text: Column, kind: str, order: int, pattern: str, group: int, least:
 _EMPTY = "array<struct<start:int,order:int,end:int,kind:string>>"
 
 
-def _hot(value: Column, e: Entropy) -> Column:
+def _hot(m: Column, e: Entropy) -> Column:
     """struct<first, last>: starts of the first and last suspicious window of a
-    candidate; first is -1 if there is none."""
+    candidate that its allowed matches leave; first is -1 if there is none."""
+    value = m["value"]
     table_ = [round(c * math.log2(c) * SCALE) if c else 0 for c in range(e.window + 1)]
     weigh = F.array(*[F.lit(v).cast("long") for v in table_])
     chars = F.split(value, "")
@@ -115,7 +119,10 @@ def _hot(value: Column, e: Entropy) -> Column:
         here = F.get(acc["count"], x["enter"] - 1) - F.when(x["leave"] == x["enter"], 1).otherwise(0)
         total = less + F.get(weigh, here + 1) - F.get(weigh, here)
         start = x["i"] - (e.window - 1)
-        hot = (start >= 0) & (total <= most)
+        at = m["start"] + start
+        quiet = F.exists(m["hold"], lambda a: (a["start"] >= at) & (a["end"] <= at + e.window)) | F.exists(
+            m["inside"], lambda a: (a["start"] <= at) & (a["end"] >= at + e.window))
+        hot = (start >= 0) & (total <= most) & ~quiet
         count = F.transform(acc["count"], lambda n, j: n + F.when(j == x["enter"] - 1, 1).otherwise(0)
                             - F.when(j == x["leave"] - 1, 1).otherwise(0))
         return F.struct(count.alias("count"), total.cast("long").alias("sum"),
@@ -137,28 +144,71 @@ def _joined(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), zero, step)
 
 
-def _parts(m: Column, e: Entropy) -> Column:
-    """array<struct<start, end, value>>: a run and its longest parts of one class."""
-    own = F.struct(m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"))
-    pure = [F.transform(_matches(m["value"], f"{c}{{{e.window},}}", 0), lambda x: F.struct(
-        (m["start"] + x["start"]).alias("start"), (m["start"] + x["end"]).alias("end"), x["value"].alias("value"))) for c in PURE]
-    return F.array_distinct(F.concat(F.array(own), *pure))
+def _span(start: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"))
+
+
+def _part(start: Column, end: Column, value: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
+
+
+def _outside(m: Column, base: Column) -> Column:
+    """array<struct<start, end, value>>: what the base findings leave of a run."""
+    over = F.filter(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
+    zero = F.struct(m["start"].alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
+    cut = lambda s, e: F.array(_part(s, e, m["value"].substr(s - m["start"] + 1, e - s)))
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.when(b["start"] > acc["at"], F.concat(
+            acc["out"], cut(acc["at"], b["start"]))).otherwise(acc["out"]).alias("out"))
+
+    left = F.aggregate(over, zero, step, lambda acc: F.when(acc["at"] < m["end"], F.concat(
+        acc["out"], cut(acc["at"], m["end"]))).otherwise(acc["out"]))
+    return F.when(F.size(over) > 0, left).otherwise(F.array(_part(m["start"], m["end"], m["value"])))
+
+
+def _allowed(m: Column, pattern: str) -> tuple[Column, Column]:
+    """The allowed matches of a candidate, and the spans that they cover together with
+    what stands between them, if that (without signs at its ends) is allowed too."""
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    if not pattern:
+        return none, none
+    some = m["value"].rlike(pattern)
+    hits = F.transform(_matches(m["value"], pattern, 0), lambda x: _span(m["start"] + x["start"], m["start"] + x["end"]))
+    gaps = F.transform(F.split(m["value"], pattern, -1), lambda g, i: F.struct(
+        F.coalesce(F.get(hits, i - 1)["end"], m["start"]).alias("start"), F.coalesce(F.get(hits, i)["start"], m["end"]).alias("end"),
+        F.btrim(g, F.lit("+/_=-")).alias("value")))
+    gaps = F.filter(gaps, lambda g: (g["value"] == "") | g["value"].rlike(pattern))
+    inside = _joined(F.concat(hits, F.transform(gaps, lambda g: _span(g["start"], g["end"]))))
+    return F.when(some, hits).otherwise(none), F.when(some, inside).otherwise(none)
+
+
+def _candidates(m: Column, base: Column, e: Entropy) -> Column:
+    """array<struct<start, end, value, hold, inside>>: what the base findings leave of a
+    run, and its longest parts of one class, with the allowed matches of both."""
+    pattern = "|".join(f"(?:{p})" for p in e.allow)
+    pure = [F.transform(_matches(m["value"], f"{c}{{{e.window},}}", 0), lambda x: _part(
+        m["start"] + x["start"], m["start"] + x["end"], x["value"])) for c in PURE]
+    parts = F.filter(F.array_distinct(F.concat(_outside(m, base), *pure)), lambda x: (
+        F.length(x["value"]) >= e.window) & x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]"))
+    run_hold, run_inside = _allowed(m, pattern)
+
+    def add(x: Column) -> Column:
+        hold, inside = _allowed(x, pattern)
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"),
+                        F.concat(run_hold, hold).alias("hold"), F.concat(run_inside, inside).alias("inside"))
+
+    return F.filter(F.transform(parts, add), lambda x: ~F.exists(x["inside"], lambda a: (a["start"] <= x["start"]) & (a["end"] >= x["end"])))
 
 
 def _added(text: Column, base: Column, e: Entropy) -> Column:
     found = _matches(text, f"({KEY_RUN}{{{e.window},}})", 1)
     keep = F.filter(found, lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]"))
-    if e.allow:
-        allowed = "|".join(f"(?:{p})" for p in e.allow)
-        keep = F.filter(keep, lambda m: ~m["value"].rlike(allowed))
-    keep = F.filter(keep, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])))
-    keep = F.flatten(F.transform(keep, lambda m: _parts(m, e)))
-    keep = F.filter(keep, lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]"))
-    if e.allow:
-        keep = F.filter(keep, lambda m: ~m["value"].rlike(allowed))
-    hot = F.transform(keep, lambda m: F.struct(m["start"].alias("at"), _hot(m["value"], e).alias("w")))
+    keep = F.flatten(F.transform(keep, lambda m: _candidates(m, base, e)))
+    hot = F.transform(keep, lambda m: F.struct(m["start"].alias("at"), _hot(m, e).alias("w")))
     hot = F.filter(hot, lambda h: h["w"]["first"] >= 0)
-    hot = F.transform(hot, lambda h: F.struct((h["at"] + h["w"]["first"]).alias("start"), (h["at"] + h["w"]["last"] + e.window).alias("end")))
+    hot = F.transform(hot, lambda h: _span(h["at"] + h["w"]["first"], h["at"] + h["w"]["last"] + e.window))
+    hot = F.filter(hot, lambda h: ~F.exists(base, lambda b: (b["start"] <= h["start"]) & (b["end"] >= h["end"])))
     return F.transform(_joined(hot), lambda s: F.struct(
         s["start"].alias("start"), F.lit(len(BASE)).alias("order"), s["end"].alias("end"), F.lit("entropy").alias("kind")))
 
