@@ -4,7 +4,8 @@ join, benchmark decontamination, secret scans, best-fit packing.
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 as Parquet to the shared folder and rereads it as the next one's documents. All
 but the last return the columns of ``documents``. Rows with the same id are told
-apart by their text; rows that are equal in both share every decision.
+apart by their text; rows that are equal in both share every decision, except
+that the join keeps one of them if they have words.
 """
 
 from __future__ import annotations
@@ -29,14 +30,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id stays; documents
-    without words or id stay as they are."""
-    groups = join_documents(spark, docs.select("doc_id", "text"))
-    keep = groups.where("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    out = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    # rows that share the smallest id: one of them
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    return out.withColumn("__nth", F.row_number().over(first)).where("__nth = 1 or doc_id is null").select(*docs.columns)
+    """Of each group of linked documents, one row with the smallest id stays (NULL counts
+    as larger than all ids); documents without words stay as they are."""
+    groups = join_documents(spark, docs.select("doc_id", "text"), keys_too=True)
+    keep = groups.groupBy("node", F.when(F.col("node").isNull(), F.col("rid"))).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("m"))
+    keep = keep.select(F.col("m.rid").alias("__rid"), F.col("node").isNotNull().alias("__one"))
+    out = docs.withColumn("__rid", row_key()).join(keep, "__rid")
+    # rows that are equal in id and text, hence linked: one of them
+    first = Window.partitionBy("__rid").orderBy("__rid", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    return out.withColumn("__nth", F.row_number().over(first)).where("__nth = 1 or not __one").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import random
 import re
+from collections import Counter
 
+import corpus_pipeline as P
 from wingspan.llm.secrets import redact
 
 
@@ -45,3 +47,17 @@ def test_an_allowed_part_or_a_base_finding_hides_only_itself(spark):
                 "550e8400-e29b-41d4-a716-446655440000", "internationalization_parameters_12", "a/b2024-05-01_2024-05-02"]
     assert clean(spark, harmless) == harmless
     assert clean(spark, [f"{md5} and {access}"]) == ["[SECRET] and [SECRET]"]
+
+
+def test_the_join_stage_keeps_one_row_of_each_group_whatever_the_ids(spark):
+    rng = random.Random(6)
+    say = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(80))
+    x, y, z, u, v, w = (say() for _ in range(6))
+    near = lambda t, word: " ".join([*t.split()[:-1], word])
+    rows = [(1, u), (1, v), (3, x), (5, near(x, "other")), (5, y), (None, z), (None, near(z, "other")), (None, w), (7, near(w, "last")),
+            (8, ""), (8, ""), (8, None), (None, ""), (None, None), (9, say()), (2, "few words"), (2, "FEW words"), (4, "few words")]
+    rows.append(rows[14])  # a repeated row
+    got = Counter(tuple(r) for r in P.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect())
+    for pair in ([(None, z), (None, near(z, "other"))], [(2, "few words"), (2, "FEW words")]):
+        assert sum(got.pop(r, 0) for r in pair) == 1
+    assert got == Counter([(1, u), (1, v), (3, x), (5, y), (7, near(w, "last")), (8, ""), (8, ""), (8, None), (None, ""), (None, None), rows[14]])

@@ -186,9 +186,10 @@ def _close(a: str, b: str, t: int):
 
 
 def join_documents(spark: SparkSession, docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", keys_too: bool = False) -> DataFrame:
     """(id, n_shingles, component): one row for every row of ``docs``; two documents
-    are linked if their shingle sets are at least t percent similar."""
+    are linked if their shingle sets are at least t percent similar. ``keys_too`` adds
+    rid, the row key, and node, the same for all rows of a component (NULL without words)."""
     src = docs.select(row_key(id_col, text_col).alias("rid"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     profile = stage(spark, map_arrow(src, _profile(k), "rid long, id long, n long, node long, token long, count long, sig array<bigint>"), "profile")
     rows = profile.where("node is not null").select("rid", "id", "n", "node")
@@ -240,10 +241,11 @@ def join_documents(spark: SparkSession, docs: DataFrame, k: int = 5, t: int = 80
     least = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     least = least.join(label, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     smallest = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = least.join(smallest, "component").select("node", "component_id")
+    of = least.join(smallest, "component").select("node", "component_id", "component")
     out = rows.join(of, "node", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+                      *(["rid", F.when(F.col("n") > 0, F.col("component")).alias("node")] if keys_too else []))
 
 
 def _sets(k: int):
