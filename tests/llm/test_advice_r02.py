@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline as P
+from wingspan.llm.decontaminate import leaks
 from wingspan.llm.secrets import redact
 
 
@@ -61,3 +62,14 @@ def test_the_join_stage_keeps_one_row_of_each_group_whatever_the_ids(spark):
     for pair in ([(None, z), (None, near(z, "other"))], [(2, "few words"), (2, "FEW words")]):
         assert sum(got.pop(r, 0) for r in pair) == 1
     assert got == Counter([(1, u), (1, v), (3, x), (5, y), (7, near(w, "last")), (8, ""), (8, ""), (8, None), (None, ""), (None, None), rows[14]])
+
+
+def test_items_that_share_an_id_or_have_none_are_found(spark):
+    rng = random.Random(8)
+    say = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(40))
+    texts = [say() for _ in range(9)]
+    bench = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (None, texts[3]), (None, texts[4]), (2, texts[5]), (2, texts[5]), (3, texts[6])]
+    docs = [(i, f"{say()} {t} {say()}") for i, t in enumerate(texts)] + [(20, f"{texts[0]} {texts[1]}"), (None, texts[2])]
+    found = leaks(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    want = [(0, 1), (1, 1), (2, 1), (3, None), (4, None), (5, 2), (6, 3), (20, 1), (None, 1)]
+    assert Counter(tuple(r) for r in found.select("id", "item").collect()) == Counter(want)

@@ -20,8 +20,9 @@ Everything is a DataFrame expression, join or aggregation.
 
 Defined results: NULL or empty texts and items have no shingles; items of fewer
 than five words are too short to prove a leak and never match; a document
-shorter than an item is compared as a whole; repeated rows give one result per
-(id, item); an empty documents or benchmark table gives an empty result; ties
+shorter than an item is compared as a whole; items with one id but different texts
+are looked for one by one, items without an id too; repeated rows give one result
+per (id, item id), the closest; an empty documents or benchmark table gives an empty result; ties
 go to the first window; very long texts are scanned whole; words are compared
 in lower case; only the named columns are read.
 """
@@ -107,8 +108,9 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, t: int = 8
           text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(rid, id, item, start, n_words, similarity): for every document and benchmark
     item that it holds, the closest window (its first word and length)."""
-    items = _with_shingles(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("__text")).distinct(), "__text")
-    items = stage(spark, items.where(F.size("sh") > 0).select("item", "words", "sh"), "items")
+    items = benchmark.select(row_key(item_col, item_text).alias("item"), F.col(item_col).alias("name"), F.col(item_text).alias("__text"))
+    items = _with_shingles(items.distinct(), "__text")
+    items = stage(spark, items.where(F.size("sh") > 0).select("item", "name", "words", "sh"), "items")
     item_print = stage(spark, simhash(items.select(F.struct("item", "words").alias("key"), "sh"), ["key"]).select("key.item", "fp"), "item-prints")
 
     known = items.select("words", F.explode("sh").alias("h")).distinct().groupBy("h").agg(F.collect_set("words").alias("sizes"))
@@ -136,10 +138,10 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, t: int = 8
     near = prints.join(_bounded(stage(spark, _filed(item_print), "filed")), ["b", "v"])
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS).select("rid", "start", "n", "item").distinct()
 
-    both = windows.join(near, ["rid", "start", "n"]).join(_bounded(items.select("item", F.col("sh").alias("ish"))), "item")
+    both = windows.join(near, ["rid", "start", "n"]).join(_bounded(items.select("item", "name", F.col("sh").alias("ish"))), "item")
     both = both.withColumn("common", _common("sh", "ish")).withColumn("all", F.size("sh") + F.size("ish") - F.col("common"))
     both = both.where(100 * F.col("common") >= t * F.col("all"))
-    best = both.groupBy("rid", "item").agg(F.max(F.struct((F.col("common") / F.col("all")).alias("s"), (-F.col("start")).alias("o"), "n")).alias("m"))
+    best = both.groupBy("rid", F.col("name").alias("item")).agg(F.max(F.struct((F.col("common") / F.col("all")).alias("s"), (-F.col("start")).alias("o"), "n")).alias("m"))
     best = best.select("rid", "item", (-F.col("m.o")).alias("start"), F.col("m.n").alias("n_words"), F.col("m.s").alias("similarity"))
     return best.join(held.select("rid", "id").distinct(), "rid").select("rid", "id", "item", "start", "n_words", "similarity")
 
