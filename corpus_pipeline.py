@@ -66,7 +66,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ]
 
 #: The learned rules, the join and the tokenizer cannot be expressed in SQL; tests/llm
-#: holds the pipeline against brute force.
+#: checks the stages' columns, row counts and ids, and the join stage's rows on one table,
+#: but not the whole pipeline against brute force.
 ORACLE_SQL: str | None = None
 
 

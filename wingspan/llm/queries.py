@@ -31,5 +31,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Statements over whole tables. The other operators are too slow or cannot be
-#: expressed in SQL; tests/llm holds them against brute force.
+#: expressed in SQL; tests/llm holds most against brute force, but not op4's scores,
+#: op9's spans and op10's verdicts.
 LLM_ORACLE: dict[str, str] = {"op3_chat_formatting": OP3_SQL}
