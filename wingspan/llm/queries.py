@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wingspan.llm.chat import OP3_SQL, op3_chat_formatting
 from wingspan.llm.decontaminate import op6_decontamination
+from wingspan.llm.filter_audit import OP12_SQL, op12_filter_audit
 from wingspan.llm.jaccard_join import op7_jaccard_join
 from wingspan.llm.packing import op2_best_fit_packing
+from wingspan.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from wingspan.llm.quality_classifier import op4_quality_classifier
 from wingspan.llm.quality_rules import op10_quality_rules
 from wingspan.llm.secrets import op9_secret_scans
@@ -28,9 +30,11 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 #: Statements over whole tables. The other operators are too slow or cannot be
 #: expressed in SQL; tests/llm holds most against brute force, but not op4's scores,
 #: op9's spans and op10's verdicts.
-LLM_ORACLE: dict[str, str] = {"op3_chat_formatting": OP3_SQL}
+LLM_ORACLE: dict[str, str] = {"op3_chat_formatting": OP3_SQL, "op11_prefix_trie": OP11_SQL, "op12_filter_audit": OP12_SQL}
