@@ -10,6 +10,7 @@ from wingspan.llm.chat import OP3_SQL, op3_chat_formatting
 from wingspan.llm.decontaminate import op6_decontamination
 from wingspan.llm.filter_audit import OP12_SQL, op12_filter_audit
 from wingspan.llm.jaccard_join import op7_jaccard_join
+from wingspan.llm.nearest import op13_nearest_neighbours
 from wingspan.llm.packing import op2_best_fit_packing
 from wingspan.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from wingspan.llm.quality_classifier import op4_quality_classifier
@@ -32,6 +33,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_filter_audit": op12_filter_audit,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 #: Statements over whole tables. The other operators are too slow or cannot be
