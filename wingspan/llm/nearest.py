@@ -15,7 +15,9 @@ chance of holding a wanted neighbour. Buckets are visited in order of estimated
 success per row that has to be looked at (chance over the bucket's expected
 share of the rows), until the chances visited in every table add up to what
 ``recall`` asks for over all tables. c is the query's own: its similarity to the
-row of the sample that stands for its ``top``-th neighbour. Rows in visited
+row of the sample that stands for its ``top``-th neighbour. The buckets of the
+sample's rows nearest to the query are visited first: where many rows lie close
+together, success is known there and the estimate per row would put them last. Rows in visited
 buckets are candidates, and only they; the tables' candidates are merged and
 reranked by their exact scores on the original vectors.
 
@@ -64,8 +66,8 @@ HEAVY = 1_000_000
 BUCKET = 32
 #: Numbers of a function are kept within this many of 0.
 REACH = 7
-#: Partial buckets that are extended at once while a query's buckets are listed.
-BEAM = 1 << 16
+#: Rows of the sample beyond ``Index.rank`` whose buckets a query visits in any case.
+KNOWN = 8
 U = np.uint64
 
 
@@ -246,6 +248,17 @@ def _file_rows(index: Index, tables: int):
     return run
 
 
+def neighbours_in_sample(index: Index, q: np.ndarray) -> tuple[float, np.ndarray]:
+    """The cosine to look for, and the nearest rows of the sample."""
+    cosine = index.sample @ q
+    near = np.argsort(-cosine, kind="stable")[: index.rank + KNOWN + 1]
+    if len(near) and cosine[near[0]] >= 1 - 1e-12:
+        near = near[1:]  # the query itself, or one of its copies
+    if not len(near):
+        return 0.0, index.sample[:0]
+    return float(np.clip(cosine[near[min(index.rank, len(near)) - 1]], 0.0, 0.9999)), index.sample[near]
+
+
 def _file_queries(index: Index, tables: int, everything: bool):
     """Every query to the cells of the buckets that it visits (``everything``: to all cells,
     without buckets, which stands for all of them)."""
@@ -259,11 +272,10 @@ def _file_queries(index: Index, tables: int, everything: bool):
                     visits = {t * (1 << 40) + c: [] for t in range(tables) for c in range(index.cells)}
                     visits |= {s: [] for b, (place, _) in index.heavy.items() if b in _of_tables(index, tables) for s in index.slices(b)}
                 else:
-                    near = np.sort(index.sample @ q)[::-1]
-                    near = near[near < 1 - 1e-12]  # not the query itself
-                    c = float(np.clip(near[min(index.rank, len(near)) - 1] if len(near) else 0.0, 0.0, 0.9999))
+                    c, near = neighbours_in_sample(index, q)
                     for t in range(tables):
-                        bucket = index.bucket(probes(index, q, t, c), t)
+                        bucket = index.bucket(np.concatenate([index.numbers(near, t), probes(index, q, t, c)]), t)
+                        bucket = bucket[np.sort(np.unique(bucket, return_index=True)[1])]
                         for b, cell in zip(bucket.tolist(), index.cell(bucket, t).tolist(), strict=True):
                             for to in index.slices(b) if b in index.heavy else [cell]:
                                 visits.setdefault(to, []).append(b)
