@@ -141,10 +141,11 @@ def chances(index: Index, q: np.ndarray, t: int, cosine: float) -> np.ndarray:
     return np.diff(cumulative, axis=1)
 
 
-def probes(index: Index, q: np.ndarray, t: int, cosine: float) -> np.ndarray:
+def probes(index: Index, q: np.ndarray, t: int, cosine: float, fall: list[float] | None = None) -> np.ndarray:
     """The numbers of the buckets to visit in table t, best estimated success first:
     partial buckets are extended function by function and kept while their best
-    extension can reach the threshold, which falls until the chances suffice."""
+    extension can reach the threshold, which falls until the chances suffice.
+    ``fall`` keeps how far it had to fall for the query before, where this one begins."""
     width = index.directions.shape[1]
     if width == 0:
         return np.empty((1, 0), np.int64)
@@ -153,9 +154,10 @@ def probes(index: Index, q: np.ndarray, t: int, cosine: float) -> np.ndarray:
     worth = p > 1e-2 * p.max(1, keepdims=True)  # numbers next to never taken are not listed
     best = np.where(worth, gain, -np.inf).max(1)
     rest = np.append(np.cumsum(best[::-1])[::-1][1:], 0.0)  # what the functions behind can add at best
-    low = best.sum()
+    step = 0.25 * math.sqrt(width)
+    fall = [step] if fall is None else fall
+    low = best.sum() - max(step, fall[0] - step)
     while True:
-        low -= 0.5 * math.sqrt(width)
         numbers, score, chance = np.zeros((1, 0), np.int64), np.zeros(1), np.ones(1)
         for i in range(width):
             options = np.flatnonzero(worth[i])
@@ -165,10 +167,12 @@ def probes(index: Index, q: np.ndarray, t: int, cosine: float) -> np.ndarray:
             score, chance = s[keep], chance[keep[0]] * p[i, options[keep[1]]]
         order = np.argsort(-score, kind="stable")
         got = np.cumsum(chance[order])
+        fall[0] = best.sum() - low
         if len(got) and got[-1] >= index.success:
             return numbers[order[: int(np.searchsorted(got, index.success)) + 1]]
         if len(got) >= np.prod(worth.sum(1)):  # nothing is left to list
             return numbers[order]
+        low -= step
 
 
 def fit_index(vectors: np.ndarray, rows: int, norm: float, top: int, tables: int, recall: float, seed: int) -> Index:
@@ -263,6 +267,7 @@ def _file_queries(index: Index, tables: int, everything: bool):
     """Every query to the cells of the buckets that it visits (``everything``: to all cells,
     without buckets, which stands for all of them)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fall = [[0.0] for _ in range(tables)]
         for batch in batches:
             x = _matrix(batch.column("v"), index.dim)
             aims = index.aim(x) if len(x) else x
@@ -274,7 +279,7 @@ def _file_queries(index: Index, tables: int, everything: bool):
                 else:
                     c, near = neighbours_in_sample(index, q)
                     for t in range(tables):
-                        bucket = index.bucket(np.concatenate([index.numbers(near, t), probes(index, q, t, c)]), t)
+                        bucket = index.bucket(np.concatenate([index.numbers(near, t), probes(index, q, t, c, fall[t])]), t)
                         bucket = bucket[np.sort(np.unique(bucket, return_index=True)[1])]
                         for b, cell in zip(bucket.tolist(), index.cell(bucket, t).tolist(), strict=True):
                             for to in index.slices(b) if b in index.heavy else [cell]:
@@ -314,6 +319,11 @@ class _Best:
         new[1:] = (ids[1:] != ids[:-1]) | (rids[1:] != rids[:-1])
         self.rows[query] = ids[new][: self.top], rids[new][: self.top], scores[new][: self.top]
 
+    def least(self, query: tuple[int, int]) -> float:
+        """The score that a row must reach to count."""
+        scores = self.rows[query][2] if query in self.rows else ()
+        return scores[-1] if len(scores) == self.top else -math.inf
+
     def batch(self) -> pa.RecordBatch:
         of = [(np.full(len(r[0]), q[0]), np.full(len(r[0]), q[1]), *r) for q, r in self.rows.items()]
         self.rows = {}
@@ -330,9 +340,9 @@ def _exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 def _search(dim: int, top: int, most: int = 20_000):
     """Rows sorted by (cell, query) to the best finds of each query in this task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, cell = _Best(top), None
+        best, cell, slack = _Best(top), None, (dim + 8) * 2.0**-22
         parts: list[tuple[np.ndarray, ...]] = []
-        ids = rids = buckets = x = size = None
+        ids = rids = known = place = x = short = size = None
         for batch in batches:
             cells = batch.column("cell").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)] if len(cells) else []
@@ -349,21 +359,27 @@ def _search(dim: int, top: int, most: int = 20_000):
                     continue
                 if x is None:  # the cell's rows are complete
                     ids, rids, buckets, x = (np.concatenate(c) for c in zip(*parts, strict=True))
+                    known, place = np.unique(buckets, return_inverse=True)
                     size = np.sqrt((x * x).sum(1)).max()
+                    short = (x / size).astype(np.float32)  # for a first look; its error is below ``slack``
                     parts = parts[:1]
                 q = _matrix(asks.column("v"), dim)
-                scores = q @ x.T
-                names = list(zip(asks.column("vec_id").to_pylist(), asks.column("rid").to_pylist(), strict=True))
-                for j, visited in enumerate(asks.column("buckets")):
-                    there = np.isin(buckets, visited.values.to_numpy()) if len(visited) else np.ones(len(ids), bool)
-                    there &= (ids != names[j][0]) | (rids != names[j][1])
-                    some = np.flatnonzero(there)
+                reach = size * np.sqrt((q * q).sum(1))
+                scores = (q * (size / reach)[:, None]).astype(np.float32) @ short.T
+                asking, visits = asks.column("vec_id").to_pylist(), asks.column("buckets")
+                for j, name in enumerate(zip(asking, asks.column("rid").to_pylist(), strict=True)):
+                    visited = visits[j].values.to_numpy()
+                    here = np.full(len(known), not len(visited))
+                    at = np.minimum(np.searchsorted(known, visited), len(known) - 1)
+                    here[at[known[at] == visited]] = True
+                    least = best.least(name) / reach[j] - slack  # as good as what this task has found for the query
+                    some = np.flatnonzero(here[place] & (scores[j] >= least))
+                    some = some[(ids[some] != name[0]) | (rids[some] != name[1])]
                     if len(some) > top:  # equal rows may stand twice, so ties stay until the exact scores are there
                         s = scores[j, some]
-                        least = np.partition(s, len(s) - top)[len(s) - top] - 1e-9 * size * np.sqrt(q[j] @ q[j])
-                        some = some[s >= least]
+                        some = some[s >= np.partition(s, len(s) - top)[len(s) - top] - 2 * slack]
                     if len(some):
-                        best.add(names[j], ids[some], rids[some], _exact(x[some], q[j]))
+                        best.add(name, ids[some], rids[some], _exact(x[some], q[j]))
                 if len(best.rows) > most:
                     yield best.batch()
         yield best.batch()
