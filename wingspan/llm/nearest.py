@@ -267,29 +267,39 @@ def _file_queries(index: Index, tables: int, everything: bool):
     """Every query to the cells of the buckets that it visits (``everything``: to all cells,
     without buckets, which stands for all of them)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fall = [[0.0] for _ in range(tables)]
+        fall, names = [[0.0] for _ in range(tables)], np.array(sorted(index.heavy), np.int64)
         for batch in batches:
             x = _matrix(batch.column("v"), index.dim)
             aims = index.aim(x) if len(x) else x
             for j, q in enumerate(aims):
-                visits: dict[int, list[int]] = {}
                 if everything:
-                    visits = {t * (1 << 40) + c: [] for t in range(tables) for c in range(index.cells)}
-                    visits |= {s: [] for b, (place, _) in index.heavy.items() if b in _of_tables(index, tables) for s in index.slices(b)}
+                    cell = np.array([t * (1 << 40) + c for t in range(tables) for c in range(index.cells)] + [
+                        s for b in index.heavy if b in _of_tables(index, tables) for s in index.slices(b)], np.int64)
+                    bucket = np.empty(0, np.int64)
+                    ends = np.zeros(len(cell) + 1, np.int64)
                 else:
                     c, near = neighbours_in_sample(index, q)
+                    cells, buckets = [], []
                     for t in range(tables):
-                        bucket = index.bucket(np.concatenate([index.numbers(near, t), probes(index, q, t, c, fall[t])]), t)
-                        bucket = bucket[np.sort(np.unique(bucket, return_index=True)[1])]
-                        for b, cell in zip(bucket.tolist(), index.cell(bucket, t).tolist(), strict=True):
-                            for to in index.slices(b) if b in index.heavy else [cell]:
-                                visits.setdefault(to, []).append(b)
-                for at in range(0, len(visits), 4096):
-                    some = list(visits.items())[at : at + 4096]
-                    vector = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * index.dim, pa.int32()), pa.array(np.tile(x[j], len(some))))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([c for c, _ in some], pa.int64()), pa.array(np.ones(len(some), bool)), pa.array([batch.column("vec_id")[j].as_py()] * len(some), pa.int64()),
-                        pa.array([batch.column("rid")[j].as_py()] * len(some), pa.int64()), pa.array([b for _, b in some], pa.list_(pa.int64())), vector], schema=_CELLS)
+                        bucket = np.unique(index.bucket(np.concatenate([index.numbers(near, t), probes(index, q, t, c, fall[t])]), t))
+                        sliced = np.isin(bucket, names)
+                        buckets.append(bucket[~sliced])
+                        cells.append(index.cell(bucket[~sliced], t))
+                        for b in bucket[sliced].tolist():
+                            cells.append(np.array(index.slices(b), np.int64))
+                            buckets.append(np.full(len(cells[-1]), b, np.int64))
+                    cell, bucket = np.concatenate(cells), np.concatenate(buckets)
+                    order = np.argsort(cell, kind="stable")
+                    bucket = bucket[order]
+                    cell, starts = np.unique(cell[order], return_index=True)
+                    ends = np.append(starts, len(bucket))
+                for at in range(0, len(cell), 4096):
+                    some = cell[at : at + 4096]
+                    n, part = len(some), ends[at : at + 4097]
+                    vector = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * index.dim, pa.int32()), pa.array(np.tile(x[j], n)))
+                    visits = pa.ListArray.from_arrays(pa.array(part - part[0], pa.int32()), pa.array(bucket[part[0] : part[-1]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.ones(n, bool)), pa.array([batch.column("vec_id")[j].as_py()] * n, pa.int64()),
+                                                      pa.array([batch.column("rid")[j].as_py()] * n, pa.int64()), visits, vector], schema=_CELLS)
     return run
 
 
