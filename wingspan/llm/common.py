@@ -45,6 +45,23 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def aside(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``df`` as the columns ``keep`` and one struct of all others, and the way back. What
+    is done in between may add columns of any name without touching a column of ``df``."""
+    others = [c for c in df.columns if c not in keep]
+    name = "aside" + "_" * max((len(c) for c in keep), default=0)  # longer than all of them
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    rest = F.struct(*[quoted(c) for c in others]) if others else F.struct(F.lit(0).alias("none"))
+
+    def back(out: DataFrame, *added: str) -> DataFrame:
+        """The columns of ``df``, and those of ``out`` given as pairs (new name, name in ``out``)."""
+        new = dict(zip(added[::2], added[1::2], strict=True))
+        return out.select(*[quoted(c) if c in keep else F.col(name).getField(c).alias(c) for c in df.columns if c not in new],
+                          *[quoted(c).alias(to) for to, c in new.items()])
+
+    return df.select(*[quoted(c) for c in keep], rest.alias(name)), back
+
+
 def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package sent to the executors first. A worker that
     has finished a partition gives its free memory back, since it stays alive."""

@@ -61,16 +61,16 @@ def _with_shingles(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def simhash(rows: DataFrame, keys: list[str], sh: str = "sh") -> DataFrame:
-    """(keys, fp): SimHash of each row's shingles. Three counters of 20 bits share a
-    long, so a row may have a million shingles."""
+    """(keys, fp): SimHash of each row's shingles. Two counters of 32 bits share a long;
+    an array has fewer than 2**31 elements, so none overflows into the other."""
     h = F.col("h")
     bit = lambda i: F.shiftrightunsigned(h, i).bitwiseAND(F.lit(1).cast("long"))
-    votes = [sum((F.shiftleft(bit(i + j), 20 * j) for j in range(1, 3) if i + j < 64), bit(i)) for i in range(0, 64, 3)]
+    votes = [bit(i) + F.shiftleft(bit(i + 1), 32) for i in range(0, 64, 2)]
     got = rows.select(*keys, F.explode(sh).alias("h")).groupBy(*keys).agg(
         F.count("*").alias("votes"), *[F.sum(v).alias(f"v{k}") for k, v in enumerate(votes)])
     fp = F.lit(0).cast("long")
     for i in range(64):
-        c = F.shiftright(F.col(f"v{i // 3}"), 20 * (i % 3)).bitwiseAND(F.lit((1 << 20) - 1))
+        c = F.shiftrightunsigned(F.col(f"v{i // 2}"), 32 * (i % 2)).bitwiseAND(F.lit((1 << 32) - 1))
         fp = fp.bitwiseOR(F.shiftleft(F.when(2 * c > F.col("votes"), 1).otherwise(0).cast("long"), i))
     return got.select(*keys, fp.alias("fp"))
 

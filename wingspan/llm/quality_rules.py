@@ -15,7 +15,8 @@ Defined results: a NULL text has no words and so fails the base rule; ties and
 repeated rows are scored row by row; an empty table gives an empty result;
 without labels the list is empty and the base rule alone decides; NULL labels
 are not used; very long texts are scored whole; only ``id_col``, ``text_col`` and
-the label column are read from the inputs.
+the label column are read from the inputs, and other columns are kept whatever
+their names (but for the columns that are added).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import SPACE, table
+from wingspan.llm.common import SPACE, aside, table
 
 #: Labelled rows that the list is fitted on at most.
 SAMPLE = 8000
@@ -36,11 +37,12 @@ WINDOW = 8
 FEATURES = ("words", "word_length", "symbol_share", "upper_share", "mark_share", "dup_line_share", "repeat_share")
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``stats``: the counts of the contract and the
-    ratios that rules test."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.withColumn("__t", text)
+def with_statistics(docs: DataFrame, text_col: str = "text", to: str = "stats") -> DataFrame:
+    """``docs`` with a struct column ``to`` (in place of one of that name): the counts
+    of the contract and the ratios that rules test."""
+    docs = docs.drop(to)
+    bare, back = aside(docs, text_col)
+    d = bare.withColumn("__t", F.coalesce(F.col(text_col), F.lit("")))
     d = d.withColumn("__trim", F.btrim("__t", F.lit(" \t\n\x0b\x0c\r")))
     d = d.withColumn("__w", F.when(F.length("__trim") == 0, F.array().cast("array<string>")).otherwise(
         F.split("__trim", SPACE + "+")))
@@ -69,13 +71,13 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.regexp_count("__t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
         F.regexp_count("__t", F.lit(r"[!?]")).cast("long").alias("n_marks"))))
     n, per = F.col("__n"), lambda a, b: F.col(f"__n.{a}") / F.greatest(F.col(f"__n.{b}"), F.lit(1))
-    d = d.withColumn("stats", F.struct(
+    d = d.withColumn("__stats", F.struct(
         *[n[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         n["n_words"].cast("double").alias("words"), per("word_chars", "n_words").alias("word_length"),
         per("n_symbols", "n_words").alias("symbol_share"), per("n_upper", "word_chars").alias("upper_share"),
         per("n_marks", "n_words").alias("mark_share"), per("n_dup_lines", "n_lines").alias("dup_line_share"),
         per("n_repeat_words", "n_words").alias("repeat_share")))
-    return d.drop("__t", "__trim", "__w", "__h", "__g", "__p", "__r", "__l", "__n")
+    return back(d, to, "__stats")
 
 
 def base_failed(stats: str = "stats") -> Column:
@@ -199,8 +201,10 @@ def describe(rules: list[Rule]) -> list[str]:
 
 
 def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``stats`` and ``rule`` (the rule that rejects, or NULL)."""
-    return with_statistics(docs, text_col).withColumn("rule", decide(rules))
+    """``docs`` with ``stats`` and ``rule`` (the rule that rejects, or NULL), in place of columns of these names."""
+    bare, back = aside(docs, text_col)
+    judged = with_statistics(bare, text_col, "__judged").withColumn("__rule", decide(rules, "__judged"))
+    return back(judged, "stats", "__judged", "rule", "__rule")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

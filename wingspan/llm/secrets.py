@@ -22,8 +22,9 @@ shuffle; texts without a match of the first, cheap test skip the rest.
 
 Defined results: a NULL text counts as empty (no findings); ties and repeated
 rows are scanned row by row; an empty table gives an empty result; very long
-texts are scanned whole (each step is linear in the text); only ``id_col`` and
-``text_col`` are read. Offsets are code points, the end exclusive.
+texts are scanned whole (linear in the text, and quadratic in the number of its
+candidates and assignments); only ``text_col`` is read, and other columns are
+kept whatever their names. Offsets are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -34,14 +35,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import table
+from wingspan.llm.common import aside, table
 
 #: Base kinds in their order: pattern, group that is measured, least length (fixed values).
 BASE = (
     ("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"""
                r"""|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
-    ("access", r"(AKIA[A-Z0-9]+)", 1, 20),
-    ("hex", r"([0-9a-f]+)", 1, 24),
+    # bounded here: a run that is too short holds no other match, so shorter ones need no place in a list
+    ("access", r"(AKIA[A-Z0-9]{16,})", 1, 20),
+    ("hex", r"([0-9a-f]{24,})", 1, 24),
 )
 #: A text without a match of these has no base finding (a run that is too short is no match).
 QUICK = (r"(?:[wW][oO][rR][dD]|[sS][wW][dD]|[cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|_?[kK][eE][yY])[\"']?\x20*[:=]", r"AKIA[A-Z0-9]{16}", r"[0-9a-f]{24}")
@@ -214,7 +216,7 @@ def _added(text: Column, base: Column, e: Entropy) -> Column:
 
 
 def scan(docs: DataFrame, entropy: Entropy = Entropy(), text_col: str = "text", to: str = "secrets") -> DataFrame:
-    """``docs`` with a struct column ``to``: base and all, each an
+    """``docs`` with a struct column ``to`` (in place of one of that name): base and all, each an
     array<struct<start, order, end, kind>> sorted by start, then kind as listed."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast(_EMPTY)
@@ -231,7 +233,9 @@ def listing(spans: Column) -> Column:
 
 def redact(docs: DataFrame, entropy: Entropy = Entropy(), text_col: str = "text", by: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span of the text replaced (overlaps as one)."""
-    found = scan(docs, entropy, text_col, "__found")
+    bare, back = aside(docs, text_col)
+    found = scan(bare, entropy, text_col, to := f"{text_col}_found")
+    spans = F.col(f"`{to}`")["all"]
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     text = F.col(text_col)
 
@@ -240,9 +244,9 @@ def redact(docs: DataFrame, entropy: Entropy = Entropy(), text_col: str = "text"
             F.array().cast("array<string>"))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], cut).alias("out"))
 
-    clean = F.aggregate("__found.all", zero, step, lambda acc: F.concat(
+    clean = F.aggregate(spans, zero, step, lambda acc: F.concat(
         F.array_join(acc["out"], ""), text.substr(acc["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("__found.all") > 0, clean).otherwise(text)).drop("__found")
+    return back(found.withColumn(text_col, F.when(F.size(spans) > 0, clean).otherwise(text)))
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
