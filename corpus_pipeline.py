@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import row_key, stage, table
+from wingspan.llm.common import aside, row_key, stage, table
 from wingspan.llm.decontaminate import leaks
 from wingspan.llm.jaccard_join import join_documents
 from wingspan.llm.packing import pack_documents
@@ -26,30 +26,36 @@ from wingspan.llm.secrets import redact
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the decision list rejects go."""
     rules = fit(docs, table(spark, sf_dir, "labels"))
-    return judge(docs, rules).where(F.col("rule").isNull()).select(*docs.columns)
+    bare, back = aside(docs, "text")
+    return back(judge(bare, rules).where(F.col("rule").isNull()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, one row with the smallest id stays (NULL counts
-    as larger than all ids); documents without words stay as they are."""
+    as larger than all ids); documents without words stay as they are. Of rows that are
+    equal in id and text, the one whose other columns come first as JSON stays."""
     groups = join_documents(spark, docs.select("doc_id", "text"), keys_too=True)
     keep = groups.groupBy("node", F.when(F.col("node").isNull(), F.col("rid"))).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("m"))
-    keep = keep.select(F.col("m.rid").alias("__rid"), F.col("node").isNotNull().alias("__one"))
-    out = docs.withColumn("__rid", row_key()).join(keep, "__rid")
-    # rows that are equal in id and text, hence linked: one of them
-    first = Window.partitionBy("__rid").orderBy("__rid", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return out.withColumn("__nth", F.row_number().over(first)).where("__nth = 1 or not __one").select(*docs.columns)
+    keep = keep.select(F.col("m.rid").alias("key"), F.col("node").isNotNull().alias("one"))
+    bare, back = aside(docs, "doc_id", "text")
+    out = bare.withColumn("key", row_key()).join(keep, "key")
+    # a row that stays as it is is a group of its own, so that one condition serves all and is met before the shuffle
+    group = ["key", F.when(~F.col("one"), F.monotonically_increasing_id())]
+    first = Window.partitionBy(*group).orderBy(F.to_json(bare.columns[-1]))
+    return back(out.withColumn("nth", F.row_number().over(first)).where("nth = 1"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     found = leaks(spark, docs, table(spark, sf_dir, "benchmark")).select("rid").distinct()
-    return docs.withColumn("rid", row_key()).join(found, "rid", "left_anti").select(*docs.columns)
+    bare, back = aside(docs, "doc_id", "text")
+    return back(bare.withColumn("rid", row_key()).join(found, "rid", "left_anti"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced; no document goes."""
-    return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Secrets in the texts are replaced; no document goes. ``n_chars``, if there, is counted anew."""
+    out = redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
