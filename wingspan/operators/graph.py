@@ -4,6 +4,8 @@ rename (J11), as chains of equi joins following the model's references."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +83,49 @@ def rekey(child: DataFrame, column: str, mapping: DataFrame, old: str = "old", n
                         for c in child.columns])
 
 
+def rekey_columns(child: DataFrame, columns: Sequence[str], mapping: DataFrame, flag: str | None = None) -> DataFrame:
+    """J11 for keys of several columns: rows whose ``columns`` equal an old key (``old0``,
+    ``old1``, ... of ``mapping``) take the new one (``new0``, ...), even if parts of it are NULL.
+    A boolean column ``flag`` of ``child``, if given, becomes true for them."""
+    n = range(len(columns))
+    m = mapping.select(*[F.col(f"old{i}").alias(f"__old{i}") for i in n], *[F.col(f"new{i}").alias(f"__new{i}") for i in n], F.lit(True).alias("__hit"))
+    on = reduce(and_, [child[c] == m[f"__old{i}"] for i, c in enumerate(columns)])
+    new = {c: F.when(F.col("__hit"), F.col(f"__new{i}")).otherwise(child[c]).alias(c) for i, c in enumerate(columns)}
+    if flag:
+        new[flag] = (child[flag] | F.col("__hit").isNotNull()).alias(flag)
+    return child.join(m, on, "left").select(*[new.get(c, child[c]) for c in child.columns])
+
+
+def rename_targets(edges: Sequence[Edge], parent: str, columns: Sequence[str]) -> dict[str, list[tuple[str, ...]]]:
+    """Which columns of which tables hold values of ``parent``'s ``columns``: the columns
+    themselves, references to them, references to those, and so on; also where they are
+    part of a longer key. Each tuple is in the order of ``columns``."""
+    found: dict[str, list[tuple[str, ...]]] = {}
+    todo = [(parent, tuple(columns))]
+    while todo:
+        table, cols = todo.pop(0)
+        if cols in found.get(table, []):
+            continue
+        found.setdefault(table, []).append(cols)
+        for child, ccols, par, pcols in edges:
+            if par == table and (held := [c for c in cols if c in pcols]):
+                if len(held) < len(cols):
+                    raise ValueError(f"{child} references a part of ({', '.join(cols)}) of {table} only")
+                todo.append((child, tuple(ccols[list(pcols).index(c)] for c in cols)))
+    return found
+
+
+def cascade_rename(tables: dict[str, DataFrame], edges: Sequence[Edge], parent: str, columns: Sequence[str],
+                   mapping: DataFrame) -> dict[str, DataFrame]:
+    """J11 through all levels: ``ON UPDATE CASCADE`` for a key of any number of columns
+    (``mapping`` as in ``rekey_columns``). Tables that hold none of its values stay as they are."""
+    out = dict(tables)
+    for table, groups in rename_targets(edges, parent, columns).items():
+        for cols in groups if table in out else ():
+            out[table] = rekey_columns(out[table], cols, mapping)
+    return out
+
+
 def rekey_tables(tables: dict[str, DataFrame], edges: Sequence[Edge], parent: str,
                  mapping: DataFrame) -> dict[str, DataFrame]:
     """J11 over the graph: rename the parent's key and every single-column

@@ -8,6 +8,8 @@ are single passes or equi joins; none collects rows to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,8 +120,18 @@ def section_length_check(sections: DataFrame, transect_keys: Sequence[str], sect
     )
 
 
+def row_rules(name: str, columns: Sequence[str]) -> dict[str, Column]:
+    """Q3 and Q4 of a model table as predicates on one row."""
+    spec, rules = MODEL[name], {}
+    if nn := [c for c in spec.not_null if c in columns]:
+        rules["not_null"] = reduce(or_, [F.col(c).isNull() for c in nn])
+    if vc := [c for c in spec.varchar if c in columns]:
+        rules["varchar_255"] = reduce(or_, [F.coalesce(F.length(F.col(c)) > VARCHAR, F.lit(False)) for c in vc])
+    return rules
+
+
 def model_checks(tables: dict[str, DataFrame], only: Sequence[str] | None = None,
-                 trusted: Sequence[str] = ()) -> DataFrame:
+                 trusted: Sequence[str] = (), measured: bool = False) -> DataFrame | None:
     """Q1-Q4 for the model tables named in ``only`` (default all given):
     ``(tbl, check, n)`` violation counts, one row per check.
 
@@ -128,7 +140,9 @@ def model_checks(tables: dict[str, DataFrame], only: Sequence[str] | None = None
     their sequence keys are unique by construction (``assign_ids``) and
     their references to each other come from joins with those same frames,
     so those checks (each a full shuffle of a fact table at scale) are
-    skipped; everything else is still checked.
+    skipped; everything else is still checked. ``measured`` leaves out the
+    rules on single rows (the store counts them while it writes). None if
+    nothing is left to check.
     """
     trusted = set(trusted)
     out = None
@@ -149,18 +163,7 @@ def model_checks(tables: dict[str, DataFrame], only: Sequence[str] | None = None
             if fk.parent in tables and not (name in trusted and fk.parent in trusted):
                 v = fk_violations(df, tables[fk.parent], list(zip(fk.columns, fk.parent_columns)))
                 parts.append((f"fk_{'_'.join(fk.columns)}", v.agg(F.count(F.lit(1)).alias("n"))))
-        present_nn = [c for c in spec.not_null if c in df.columns]
-        rules = {}
-        if present_nn:
-            rules["not_null"] = F.lit(False)
-            for c in present_nn:
-                rules["not_null"] = rules["not_null"] | F.col(c).isNull()
-        vc = [c for c in spec.varchar if c in df.columns]
-        if vc:
-            pred = F.lit(False)
-            for c in vc:
-                pred = pred | (F.length(F.col(c)) > VARCHAR)
-            rules["varchar_255"] = pred
+        rules = {} if measured else row_rules(name, df.columns)
         if rules:
             rc = rule_counts(df, rules).select(F.col("rule").alias("check"), F.col("n").cast("long"))
             rc = rc.withColumn("tbl", F.lit(name))
@@ -168,7 +171,7 @@ def model_checks(tables: dict[str, DataFrame], only: Sequence[str] | None = None
         for check, p in parts:
             p = p.select(F.lit(name).alias("tbl"), F.lit(check).alias("check"), F.col("n").cast("long"))
             out = p if out is None else out.unionByName(p)
-    return out.select("tbl", "check", "n")
+    return None if out is None else out.select("tbl", "check", "n")
 
 
 def cast_rejects(df: DataFrame, column: str, dtype: str) -> DataFrame:

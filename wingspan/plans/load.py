@@ -10,6 +10,7 @@ scoped by scheme in every join, so one plan serves one scheme or all.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -297,7 +298,7 @@ def together(*steps):
         # inheritable targets carry the caller's job group and local properties
         session = SparkSession.getActiveSession()
         wrap = inheritable_thread_target(session) if session is not None else inheritable_thread_target
-        futures = [pool.submit(wrap(step)) for step in steps]
+        futures = [pool.submit(copy_context().run, wrap(step)) for step in steps]  # and its scratch scope
         return [f.result() for f in futures]
 
 

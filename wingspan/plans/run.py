@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from wingspan.operators.quality import load_warnings
 from wingspan.plans import load as L
 from wingspan.plans.model import CHECKLIST
-from wingspan.plans.publish import PublishError, Store, load_audit
+from wingspan.plans.publish import PublishError, Store
 from wingspan.session import scratch_scope
 from wingspan.sources.readers import Scheme, read_raw, scheme_detail
 
@@ -103,7 +103,7 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
     mine = {t: df.where(F.col("bms_id").isin(*ids)) for t, df in published.items()}
     return LoadReport(
         load_id=load_id,
-        audit=load_audit(mine),
+        audit=store.audit().where(F.col("bms_id").isin(*ids) & F.col("tbl").isin(*published) & (F.col("n") > 0)),
         dropped_counts=L.unmatched_counts(counts, mine["m_visit"], mine["m_site"]),
         warnings=load_warnings(mine["m_site"], mine["b_recorder"], mine["m_site_geo"]),
         cascade=dict(store.last_cascade or {}),
@@ -113,6 +113,6 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
 
 
 def load_scheme(spark: SparkSession, store: Store, scheme: Scheme, files: SchemeFiles, checklist: DataFrame,
-                schemas: dict[str, str] | None = None) -> LoadReport:
+                schemas: dict[str, str] | None = None, strict: bool = False) -> LoadReport:
     """One scheme, replacing whatever the store held for it."""
-    return load_schemes(spark, store, {scheme: files}, checklist, schemas)
+    return load_schemes(spark, store, {scheme: files}, checklist, schemas, strict)

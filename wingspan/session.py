@@ -4,9 +4,9 @@ checkpoint folder every lineage cut goes to."""
 from __future__ import annotations
 
 import tempfile
-import threading
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -64,16 +64,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
 
 
-_SCRATCH_LOCK = threading.Lock()
+#: The scratch folders of the scope that this thread works for, if any.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("wingspan_scratch", default=None)
+#: Folders made outside of any scope, whose frames may still be read: their owner removes them (``drop_paths``).
 _SCRATCH_MADE: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (recorded so that a
-    ``scratch_scope`` can remove it once the load is published)."""
+    """A fresh path under the shared checkpoint folder (recorded so that the
+    ``scratch_scope`` around it can remove it once the load is published)."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    with _SCRATCH_LOCK:
-        _SCRATCH_MADE.append(path)
+    made = _SCRATCH.get()
+    (_SCRATCH_MADE if made is None else made).append(path)
     return path
 
 
@@ -95,14 +97,14 @@ def drop_paths(spark: SparkSession, paths: list[str]) -> int:
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Remove every scratch folder created inside the block when it ends
-    (published or failed). Frames that still read those folders must not
-    be used afterwards; published tables are read from the store instead."""
-    with _SCRATCH_LOCK:
-        start = len(_SCRATCH_MADE)
+    (published or failed). Each scope has its own list, which threads started by
+    ``plans.load.together`` share, so loads side by side keep their folders apart.
+    Frames that still read those folders must not be used afterwards; published
+    tables are read from the store instead."""
+    made: list[str] = []
+    token = _SCRATCH.set(made)
     try:
         yield
     finally:
-        with _SCRATCH_LOCK:
-            made = _SCRATCH_MADE[start:]
-            del _SCRATCH_MADE[start:]
+        _SCRATCH.reset(token)
         drop_paths(spark, made)
