@@ -4,10 +4,6 @@ views. Every statement reads whole tables."""
 
 from __future__ import annotations
 
-# Text recipe of the lenient time parser, for the oracle (same rule as try_cast_to_time).
-_TIME_T = ("rtrim(left(replace(replace(replace(regexp_replace(v, '[^0-9.:,\\-]+', '', 'g'), ',', ':'), "
-           "'.', ':'), '-', ':') || ':00:00', 8), ':')")
-
 ORACLE: dict[str, str] = {
     "species_replace": """
         SELECT CAST(p_partkey AS INTEGER) AS species_id, p_name || ' ' || p_partkey AS species_acpt_sci_name,
@@ -15,6 +11,8 @@ ORACLE: dict[str, str] = {
         FROM part""",
     "store_refusal": """
         SELECT 'b_count' AS tbl, 'not_null' AS "check", count(*) FILTER (l_linenumber >= 7) AS n FROM lineitem
+        UNION ALL SELECT 'b_count', 'primary_key', CAST(coalesce(sum(n), 0) AS BIGINT)
+            FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
         UNION ALL SELECT 'b_count', 'fk_visit_id', count(*) FROM lineitem
         UNION ALL SELECT 'b_count', 'fk_site_id', count(*) FROM lineitem
         UNION ALL SELECT 'b_count', 'fk_species_id', count(*) FROM lineitem
@@ -132,7 +130,7 @@ ORACLE: dict[str, str] = {
         SELECT event_id, CASE WHEN event_type = 'view' THEN true WHEN event_type = 'click' THEN false END
                AS section_geom_true
         FROM events""",
-    "parse_time_lenient": f"""
+    "parse_time_lenient": """
         WITH src AS (
           SELECT event_id, CASE event_type
             WHEN 'view' THEN CAST(hour(ts) AS VARCHAR) || ':' || CAST(minute(ts) AS VARCHAR)
@@ -142,19 +140,15 @@ ORACLE: dict[str, str] = {
                  || ' - ' || CAST(hour(ts) + 1 AS VARCHAR) || ':' || lpad(CAST(second(ts) AS VARCHAR), 2, '0')
             ELSE props END AS v
           FROM events),
-        t AS (SELECT event_id, {_TIME_T} AS t FROM src),
-        p AS (SELECT event_id, t,
-                     regexp_full_match(t, '([01]?[0-9]|2[0-3]):([0-5]?[0-9])(:([0-5]?[0-9]|60))?') AS ok,
-                     regexp_full_match(t, '24:0?0(:0?0)?') AS midnight
-              FROM t),
-        s AS (SELECT event_id, midnight, ok,
-                     CASE WHEN ok THEN CAST(split_part(t, ':', 1) AS INTEGER) * 3600
-                          + CAST(split_part(t, ':', 2) AS INTEGER) * 60
-                          + CAST(coalesce(nullif(split_part(t, ':', 3), ''), '0') AS INTEGER) END AS secs
-              FROM p)
-        SELECT event_id, CASE WHEN midnight THEN '24:00:00'
-                              WHEN ok AND secs <= 86400 THEN printf('%02d:%02d:%02d', secs // 3600,
-                                   (secs // 60) % 60, secs % 60) END AS tm
+        -- the characters that count, filled up to eight, as the digit groups of a time
+        k AS (SELECT event_id, array_to_string([c FOR c IN string_split(v, '') IF contains('0123456789.:,-', c)], '') AS k FROM src),
+        g AS (SELECT event_id, substr(k || substr(':00:00', 1, greatest(0, 8 - length(k))), 1, 8) AS k FROM k),
+        p AS (SELECT event_id, [CAST(x AS INTEGER) FOR x IN regexp_extract_all(k, '[0-9]+')] AS p,
+                     regexp_full_match(k, '[0-9]{1,2}[^0-9][0-9]{1,2}([^0-9][0-9]{1,2})?[^0-9]*') AS ok FROM g),
+        s AS (SELECT event_id, p, ok AND p[2] <= 59 AND coalesce(p[3], 0) <= 60 AS ok,
+                     p[1] * 3600 + p[2] * 60 + coalesce(p[3], 0) AS secs FROM p)
+        SELECT event_id, CASE WHEN ok AND p[1] <= 24 AND secs <= 86400 AND (p[1] < 24 OR secs = 86400)
+                              THEN printf('%02d:%02d:%02d', secs // 3600, (secs // 60) % 60, secs % 60) END AS tm
         FROM s""",
     "extract_integer": """
         WITH src AS (
@@ -165,14 +159,15 @@ ORACLE: dict[str, str] = {
             WHEN 'error' THEN '-' || printf('%.2f', value)
             ELSE CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) END AS v
           FROM events),
-        h AS (SELECT event_id,
-                     split_part(left(replace(regexp_replace(v, '[^0-9.,\\-]+', '', 'g'), ',', '.'), 4), '-', 1) AS x
-              FROM src)
-        SELECT event_id,
-               CASE WHEN regexp_full_match(x, '[0-9]+\\.?[0-9]*|\\.[0-9]+')
-                    THEN TRY_CAST(left(CAST(CAST(ceil(CAST(x AS DECIMAL(20,6))) AS BIGINT) AS VARCHAR), 2) AS INTEGER)
-               END AS i
-        FROM h""",
+        -- four characters that count, up to a minus sign: whole digits, at most one point, digits behind it
+        h AS (SELECT event_id, regexp_extract(array_to_string([c FOR c IN string_split(v, '') IF contains('0123456789.,-', c)][1:4], ''), '^[^-]*') AS x
+              FROM src),
+        n AS (SELECT event_id, regexp_full_match(x, '[0-9]*[.,]?[0-9]*') AND regexp_matches(x, '[0-9]') AS ok,
+                     coalesce(TRY_CAST(regexp_extract(x, '^[0-9]*') AS INTEGER), 0)
+                     + CASE WHEN regexp_matches(x, '[.,][0-9]*[1-9]') THEN 1 ELSE 0 END AS up
+              FROM h)
+        SELECT event_id, CASE WHEN ok THEN CAST(CASE WHEN up >= 1000 THEN up // 100 WHEN up >= 100 THEN up // 10 ELSE up END AS INTEGER) END AS i
+        FROM n""",
     "normalise_clock": """
         WITH src AS (
           SELECT event_id, CASE event_type
@@ -222,7 +217,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'aggregate_above_1000', count(*) FILTER (WHERE (p_size > 25) <> (p_partkey > 1000)) FROM part
         UNION ALL SELECT 'aggregate_at_1000', count(*) FILTER (WHERE p_partkey = 1000) FROM part
         UNION ALL SELECT 'monitoring_type', count(*) FILTER (WHERE s_acctbal < 0) FROM supplier
-        UNION ALL SELECT 'site_info_quality_1_3', count(*) FILTER (WHERE false) FROM supplier""",
+        UNION ALL SELECT 'site_info_quality_1_3', count(*) FILTER (WHERE s_acctbal < 5000 AND s_nationkey % 5 IN (0, 4)) FROM supplier""",
     "load_audit": """
         WITH sr AS (SELECT s_suppkey, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
                     JOIN region ON n_regionkey = r_regionkey),

@@ -266,7 +266,7 @@ def q_store_refusal(spark, sf):
     counts = L.conform(li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("count_id"), F.col("l_orderkey").alias("visit_id"),
                                  F.col("l_suppkey").alias("site_id"), F.col("l_partkey").alias("species_id"),
                                  F.when(F.col("l_linenumber") < 7, F.col("l_quantity")).alias("butterfly_count")), "b_count")
-    return store.violations({"b_count": counts}).where(F.col("check") != "primary_key").select("tbl", "check", "n")
+    return store.violations({"b_count": counts}).select("tbl", "check", "n")
 
 
 def q_unknown_species(spark, sf):
@@ -404,7 +404,7 @@ def q_domain_violations(spark, sf):
                                            (F.col("p_size") > 25).alias("aggregate"))
     sites = table(spark, sf, "supplier").select(
         F.when(F.col("s_acctbal") < 0, F.lit("3")).otherwise(F.lit("31")).alias("monitoring_type"),
-        F.lit(1).alias("site_info_quality"))
+        F.when(F.col("s_acctbal") < 5000, F.col("s_nationkey") % 5).alias("site_info_quality"))
     return (quality.domain_violations(e, quality.visit_domain_rules())
             .unionByName(quality.domain_violations(part, quality.species_domain_rules()))
             .unionByName(quality.domain_violations(sites, quality.site_domain_rules())))

@@ -4,10 +4,12 @@ The source loads one scheme after another ("repeat for all datasets"). Here
 each delivery is a small request record (scheme parameters and the folders
 of its staged site, visit and count tables) dropped into a request folder.
 A file-source stream picks requests up and ``foreachBatch`` loads the
-schemes of each micro-batch in ONE job and replaces them in the store. The
-stream's checkpoint (in the shared folder) records which requests were
-processed, so a restart neither skips nor repeats a delivery, and a
-replacement is atomic, so a batch re-run after a failure is harmless.
+schemes of each micro-batch in ONE job and replaces them in the store; several
+requests for one scheme are loaded one after the other, in the order of their
+file names. The stream's checkpoint (in the shared folder) records which requests
+were processed. Every load commits the number of its delivery (micro-batch and
+round) together with its rows, so a batch that runs again after a failure skips
+what it had already loaded, and no request is dropped or loaded twice.
 
 Only the request rows (a few per scheme) reach the driver; the survey data
 stays in Spark.
@@ -24,6 +26,8 @@ from wingspan.plans.publish import Store
 from wingspan.session import scratch_scope
 from wingspan.sources.readers import Scheme, scheme_detail
 
+#: Delivery numbers of a micro-batch: a bound on one scheme's requests in it.
+ROUNDS = 1_000_000
 REQUEST_SCHEMA = ("bms_id string, country_iso3 string, country_name string, contact_name string, "
                   "contact_email string, sites string, visits string, counts string")
 
@@ -36,8 +40,10 @@ def _read_staged(spark: SparkSession, paths: list[str], scheme_ids: list[str]) -
     return out
 
 
-def load_requests(spark: SparkSession, store: Store, requests: list[dict], checklist: DataFrame | None = None) -> str:
-    """Load every requested scheme in one job and replace them in the store."""
+def load_requests(spark: SparkSession, store: Store, requests: list[dict], checklist: DataFrame | None = None,
+                  sources: dict[str, int] | None = None) -> str:
+    """Load every requested scheme in one job and replace them in the store. ``sources``
+    are delivery numbers to commit with the load."""
     ids = [r["bms_id"] for r in requests]
     detail = scheme_detail(spark, [Scheme(r["bms_id"], r["country_iso3"], r["country_name"], r["contact_name"],
                                           r["contact_email"]) for r in requests])
@@ -49,7 +55,31 @@ def load_requests(spark: SparkSession, store: Store, requests: list[dict], check
     marks = {t: store.high_water(t) for t in ("m_site", "b_recorder", "m_visit", "b_count")}
     with scratch_scope(spark):  # numbering copies are removed once published (or refused)
         tables = L.load_tables(detail, L.SchemeSources(sites, visits, counts), starts=marks)
-        return store.replace_schemes(ids, tables, trusted_keys=True)
+        return store.replace_schemes(ids, tables, trusted_keys=True, sources=sources)
+
+
+def rounds(requests: list[dict]) -> list[list[dict]]:
+    """The requests in order, as rounds that name a scheme at most once: the n-th request
+    of a scheme is in the n-th round."""
+    out: list[list[dict]] = []
+    seen: dict[str, int] = {}
+    for r in requests:
+        n = seen[r["bms_id"]] = seen.get(r["bms_id"], -1) + 1
+        if n == len(out):
+            out.append([])
+        out[n].append(r)
+    return out
+
+
+def load_batch(spark: SparkSession, store: Store, requests: list[dict], checklist: DataFrame | None, stream: str, epoch: int) -> int:
+    """Load a micro-batch of ``stream``, but for rounds that it committed before; the number of loads."""
+    done = 0
+    for n, some in enumerate(rounds(requests)):
+        delivery = epoch * ROUNDS + n
+        if delivery > store.log.state().sources.get(stream, -1):
+            load_requests(spark, store, some, checklist, {stream: delivery})
+            done += 1
+    return done
 
 
 def start_feed(spark: SparkSession, request_dir: str, store: Store, checkpoint: str,
@@ -60,12 +90,9 @@ def start_feed(spark: SparkSession, request_dir: str, store: Store, checkpoint:
     requests = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files).json(request_dir)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        # several requests for one scheme in a batch: the one in the last file
-        # name wins (name deliveries by time, e.g. 2024-06-01T10-00_UK.json)
-        ordered = batch.withColumn("__file", F.input_file_name()).orderBy("__file").drop("__file")
-        reqs = {r["bms_id"]: r.asDict() for r in ordered.collect()}
-        if reqs:
-            load_requests(batch.sparkSession, store, list(reqs.values()), checklist)
+        # by file name (name deliveries by time, e.g. 2024-06-01T10-00_UK.json), then as the file lists them
+        ordered = batch.select("*", F.input_file_name().alias("__file"), F.monotonically_increasing_id().alias("__line")).orderBy("__file", "__line")
+        load_batch(batch.sparkSession, store, [r.asDict() for r in ordered.drop("__file", "__line").collect()], checklist, checkpoint, epoch)
 
     writer = requests.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
