@@ -151,7 +151,7 @@ def test_a_load_that_another_one_overtakes(spark, model, monkeypatch):
     monkeypatch.setattr(slow, "_check", late("BB"))
     marks = slow.high_water("m_site")
     sites = build(f, ["AA"], {t: slow.high_water(t) for t in SEQUENCES})["m_site"]
-    with pytest.raises(P.PublishError, match="ids of m_site"):  # ids that the caller chose are not moved
+    with pytest.raises(P.PublishError, match="m_site.published_key"):  # ids that the caller chose are not moved
         slow.replace_schemes(["AA"], {"m_site": sites})
     assert store.high_water("m_site") > marks
 
@@ -282,6 +282,38 @@ def test_rename_graph_of_several_levels_and_columns(spark):
         G.rename_targets([("b", ["k"], "a", ["k"])], "a", ["k", "l"])
 
 
+def test_ids_that_are_published_already_refuse_the_load(spark, model):
+    store, f = model
+    load(store, f, "AA")
+    high = store.high_water("m_site")
+    sites = build(f, ["BB"], {"m_site": high - 1})["m_site"]  # one id below the mark: the last of AA's
+    load(store, f, "BB")
+    with pytest.raises(P.PublishError, match="m_site.published_key=1"):
+        store.replace_schemes(["BB"], {"m_site": sites})
+    read = []
+    real = store._read_loads
+    store._read_loads = lambda name, ids: read.append((name, tuple(ids))) or real(name, ids)
+    store.replace_schemes(["BB"], {"m_site": build(f, ["BB"], {"m_site": store.high_water("m_site")})["m_site"]})
+    assert len([r for r in read if r[0] == "m_site"]) == 1  # its own rows: no published load has ids near
+    assert valid(store) or store.table("b_count").where("bms_id = 'BB'").count() == 0
+
+
+def test_files_per_load_and_scheme_are_bounded(spark, model):
+    store, f = model
+    spark.conf.set("spark.wingspan.rowsPerFile", "3")
+    try:
+        lid = load(store, f, "AA", "BB")
+    finally:
+        spark.conf.unset("spark.wingspan.rowsPerFile")
+    folder = os.path.join(store.root, "m_site_geo", f"load_id={lid}", "bms_id=AA")
+    assert len([n for n in os.listdir(folder) if n.endswith(".parquet")]) == -(-store.table("m_site_geo").where("bms_id = 'AA'").count() // 3)
+    for t in TABLES:
+        for b in ("AA", "BB"):
+            folder = os.path.join(store.root, t, f"load_id={lid}", f"bms_id={b}")
+            for n in os.listdir(folder) if os.path.isdir(folder) else ():
+                assert not n.endswith(".parquet") or spark.read.parquet(os.path.join(folder, n)).count() <= 3
+
+
 def test_vacuum_waits_for_readers(spark, model):
     store, f = model
     load(store, f, "AA", "BB")
