@@ -154,25 +154,27 @@ def probes(index: Index, q: np.ndarray, t: int, cosine: float, fall: list[float]
     worth = p > 1e-2 * p.max(1, keepdims=True)  # numbers next to never taken are not listed
     best = np.where(worth, gain, -np.inf).max(1)
     rest = np.append(np.cumsum(best[::-1])[::-1][1:], 0.0)  # what the functions behind can add at best
-    step = 0.25 * math.sqrt(width)
+    step, radix = 0.25 * math.sqrt(width), 2 * REACH + 2
     fall = [step] if fall is None else fall
-    low = best.sum() - max(step, fall[0] - step)
+    drop, tries = max(step, fall[0]), 0
     while True:
-        numbers, score, chance = np.zeros((1, 0), np.int64), np.zeros(1), np.ones(1)
+        low, code, score, chance = best.sum() - drop, np.zeros(1, np.int64), np.zeros(1), np.ones(1)
         for i in range(width):
             options = np.flatnonzero(worth[i])
             s = score[:, None] + gain[i, options][None, :]
-            keep = np.nonzero(s + rest[i] >= low)
-            numbers = np.hstack([numbers[keep[0]], options[keep[1]][:, None]])
-            score, chance = s[keep], chance[keep[0]] * p[i, options[keep[1]]]
-        order = np.argsort(-score, kind="stable")
-        got = np.cumsum(chance[order])
-        fall[0] = best.sum() - low
-        if len(got) and got[-1] >= index.success:
-            return numbers[order[: int(np.searchsorted(got, index.success)) + 1]]
-        if len(got) >= np.prod(worth.sum(1)):  # nothing is left to list
-            return numbers[order]
-        low -= step
+            before, behind = np.nonzero(s + rest[i] >= low)
+            code = code[before] * radix + options[behind]
+            score, chance = s[before, behind], chance[before] * p[i, options[behind]]
+        tries += 1
+        enough = chance.sum() >= index.success
+        if enough or len(code) >= np.prod(worth.sum(1)):  # the second: nothing is left to list
+            # the next query begins a little above where this one ended
+            fall[0] = drop if tries > 1 else drop - 0.1 * step
+            order = np.argsort(-score, kind="stable")
+            if enough:
+                order = order[: int(np.searchsorted(np.cumsum(chance[order]), index.success)) + 1]
+            return code[order][:, None] // radix ** np.arange(width - 1, -1, -1) % radix
+        drop += step
 
 
 def fit_index(vectors: np.ndarray, rows: int, norm: float, top: int, tables: int, recall: float, seed: int) -> Index:
