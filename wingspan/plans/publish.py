@@ -128,6 +128,7 @@ class Load:
     load_id: str
     schemes: list[str]
     tables: dict[str, Written]
+    frames: dict[str, DataFrame]  # the rows as written
     cascaded: list[str]
     trusted: bool
     check: bool
@@ -312,7 +313,9 @@ class Store:
         jobs = [lambda n=n: self._write(n, frames[n], load_id, scheme_ids, base, known) for n in names]
         try:
             done = dict(zip(names, together(*jobs) if jobs else [], strict=True))
-            load = Load(load_id, list(scheme_ids), done, cascaded, trusted_keys, check, sources or {})
+            # listed, not scanned: a folder that cannot be read is not made current
+            frames = {n: self._read_loads(n, [load_id]).drop("load_id") for n in names}
+            load = Load(load_id, list(scheme_ids), done, frames, cascaded, trusted_keys, check, sources or {})
             if check:
                 self._check(load, base)
             self._commit(load, base)
@@ -321,17 +324,12 @@ class Store:
             raise
         return load_id
 
-    def _in_flight(self, load: "Load") -> dict[str, DataFrame]:
-        """The rows that a load has written."""
-        return {n: self._read_loads(n, [load.load_id]).drop("load_id") if w.rows else
-                self.spark.createDataFrame([], self._read_schema(n)).drop("load_id") for n, w in load.tables.items()}
-
     def _check(self, load: "Load", state: State, counted: bool = True) -> None:
         """Refuse the load on any violation: what the writing jobs counted, and keys and
         references that need the rows of several tables. ``counted`` False: references to
         published parents are checked again, since these changed."""
         bad = [(n, c, k) for n, w in load.tables.items() for c, k in sorted(w.failed.items())]
-        frames = self._in_flight(load)
+        frames = load.frames
         trusted = list(frames) if load.trusted else []
         if not load.trusted:
             bad += self._repeated_ids(load, frames, state)
