@@ -72,8 +72,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ]
 
 #: The learned rules, the join and the tokenizer cannot be expressed in SQL; tests/llm
-#: checks the stages' columns, row counts and ids, and the join stage's rows on one table,
-#: but not the whole pipeline against brute force.
+#: compares every stage and ``run`` with a plain-Python pipeline (given the learned rules).
 ORACLE_SQL: str | None = None
 
 
