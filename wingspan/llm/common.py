@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import wingspan
-from wingspan.session import checkpoint_dir
+from wingspan.session import checkpoint_dir, drop_paths
 
 #: Word separators of the contracts: space and the controls tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -42,7 +42,15 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     del df
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged = path  # noqa: SLF001
+    return out
+
+
+def drop_stage(spark: SparkSession, df: DataFrame | None) -> None:
+    """Remove the folder of a frame that ``stage`` gave, once nothing reads it any more."""
+    if df is not None:
+        drop_paths(spark, [df._staged])  # noqa: SLF001
 
 
 def aside(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
@@ -121,14 +129,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _byte_values(lower: bool) -> np.ndarray:
-    v = mix(np.arange(1, 257, dtype=U) * _SEED)
-    if lower:
-        v[65:91] = v[97:123]
-    return v
-
-
-BYTES, BYTES_LOWER = _byte_values(False), _byte_values(True)
+BYTES = mix(np.arange(1, 257, dtype=U) * _SEED)
 BASE = U(0xD1342543DE82EF95)  # odd, hence invertible modulo 2**64
 BASE_INV = U(pow(int(BASE), -1, 1 << 64))
 
@@ -171,11 +172,45 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
-def word_hashes(data: np.ndarray, lower: bool, block: int = 1 << 20) -> np.ndarray:
+def _family(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """A value for each byte and a coefficient for each of a word's first places."""
+    salt = mix(np.array([k + 1], U) * U(0x8CB92BA72F3D8DD7))[0]
+    return mix(np.arange(1, 257, dtype=U) * _SEED ^ salt), mix(np.arange(1, PLACES + 1, dtype=U) * U(0xE7037ED1A0B428DB) ^ salt) | U(1)
+
+
+#: Places of a word with a coefficient of their own; further ones take a product of two.
+PLACES = 1 << 16
+_FAMILIES = [_family(0), _family(1)]
+
+
+def _hash_words(data: np.ndarray, lower: bool, family: int) -> np.ndarray:
+    """Each word as the sum of its bytes' values times their places' coefficients."""
+    s, e = word_spans(data)
+    if not len(s):
+        return np.empty(0, U)
+    values, places = _FAMILIES[family]
+    if lower:
+        values = values.copy()
+        values[65:91] = values[97:123]
+    n = e - s
+    first = np.cumsum(n) - n
+    letters = data[~is_space(data)]
+    at = np.arange(len(letters)) - np.repeat(first, n)
+    v = values[letters]
+    if n.max() <= PLACES:
+        v *= places[at]
+    else:
+        v *= places[at & (PLACES - 1)]
+        v *= mix((at // PLACES).astype(U) * _SEED) | U(1)
+    return mix(np.add.reduceat(v, first) + n.astype(U) * _SEED)
+
+
+def word_hashes(data: np.ndarray, lower: bool, block: int = 1 << 20, family: int = 0) -> np.ndarray:
     """A 64-bit fingerprint of each word, working in blocks that end at a
-    separator so that temporary arrays stay small for very long texts."""
+    separator so that temporary arrays stay small for very long texts. The two
+    families differ in every value and coefficient. Not powers of one base:
+    those collide on words like the Thue-Morse sequence and its complement."""
     out, at, n = [], 0, len(data)
-    values = BYTES_LOWER if lower else BYTES
     while at < n:
         end = min(n, at + block)
         if end < n:
@@ -187,10 +222,7 @@ def word_hashes(data: np.ndarray, lower: bool, block: int = 1 << 20) -> np.ndarr
                 while step < n and not (cut := np.flatnonzero(is_space(data[step : step + block]))).size:
                     step += block
                 end = min(n, step + int(cut[0]) + 1) if step < n else n
-        part = data[at:end]
-        s, e = word_spans(part)
-        p, inv = prefix(part, values)
-        out.append(mix((p[e] - p[s]) * inv[s] + (e - s).astype(U) * _SEED))
+        out.append(_hash_words(data[at:end], lower, family))
         at = end
     return np.concatenate(out) if out else np.empty(0, U)
 

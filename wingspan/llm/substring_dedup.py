@@ -1,26 +1,31 @@
 """Operator 8: substring dedup over words.
 
 Method: level-wise doubling. Windows repeated at one length alone are extended
-to twice that length. The first level looks at windows of half the final length
-(7 of 13 words): each final window is represented by the smallest fingerprint of
-the half-length windows in it, so a quarter of the positions is enough to meet
-every repetition. Only final windows whose half is repeated in another document
-are fingerprinted at full length (two halves that share a word), and only those
-that repeat there survive: a word is removed if it lies in a window whose word
-sequence also starts in a document with a smaller id.
-
-Spark's part: a task first settles what repeats within its own batch and sends
-one representative of each fingerprint, so a passage that stands in a third of
-all documents reaches the shuffle once a batch, not once a document; a window
-function over the fingerprint settles the rest. Exact copies of a document are
-settled by the fingerprint of the whole text before any window is looked at.
-Each level is written once to the shared folder.
+to twice that length, until none survives or the final length is reached (4, 8
+and then 13 words for the contract's window). Below the final length a window is
+represented by the smallest fingerprint of the shorter windows in it, so a
+fraction of the positions is enough to meet every repetition: a window that
+repeats has the same representative in both places, at every level. The last
+level fingerprints the surviving windows whole, and a word is removed if it lies
+in a window whose word sequence also starts in a document with a smaller id.
+Copies of whole documents take the same way as any other passage.
+
+Spark's part: a task first settles what repeats within a block of its own
+documents and sends one representative of each fingerprint, so a passage that
+stands in a third of all documents reaches the shuffle once a block, not once a
+document; a window function over the fingerprint settles the rest. Each level is
+written once to the shared folder, and removed when the next one is written.
+
+The last level compares windows by 96 bits from two unlike families of word
+fingerprints (each sums a value of the byte times a coefficient of its place, so
+that no arrangement of the same letters is favoured): over 1e13 windows the
+expected number of false repeats is below one in a thousand.
 
 Defined results: a NULL text has no words; repeated rows and rows that share an
 id are not earlier than each other; a NULL id comes after all others; texts of
 fewer than ``window`` words lose nothing; an empty table gives an empty result;
 very long texts are treated whole, in blocks; only ``id_col`` and ``text_col``
-are read. Fingerprints have 64 bits over words of any length.
+are read.
 """
 
 from __future__ import annotations
@@ -32,138 +37,170 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import binary_rows, grams, map_arrow, mix, row_key, sliding_min, stage, table, word_hashes
+from wingspan.llm.common import U, binary_rows, drop_stage, grams, map_arrow, mix, row_key, sliding_min, stage, table, word_hashes
 
 _LAST = 2**63 - 1
+#: Words of the shortest windows, and how many fingerprints a task settles at a time.
+FIRST = 4
+BLOCK = 1 << 20
+
+
+def lengths(window: int, first: int = FIRST) -> list[int]:
+    """The lengths of the levels: each twice the one before, the last the window's."""
+    out = [min(first, window)]
+    while out[-1] < window:
+        out.append(min(2 * out[-1], window))
+    return out
 
 
 def _long(a: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(a).view(np.int64) if a.dtype == np.uint64 else a, pa.int64())
 
 
-def _halves(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word fingerprints, smallest half-length fingerprint of every window)."""
-    words = word_hashes(data, lower=False)
-    half = window // 2 + 1
-    if len(words) < window:
-        return words, np.empty(0, np.uint64)
-    return words, sliding_min(grams(words, half), window - half + 1)
+def _alive(words: np.ndarray, window: int, before: int, known: np.ndarray) -> np.ndarray:
+    """Starts of the windows whose representative at the length ``before`` is among
+    the repeated ones; all of them where there was no level before."""
+    n = len(words) - window + 1
+    if n <= 0 or not before:
+        return np.arange(max(n, 0))
+    return np.flatnonzero(np.isin(sliding_min(grams(words, before), window - before + 1), known))
 
 
-def _groups(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _groups(*h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by value and the start of each group of equal values in it."""
-    order = np.argsort(h, kind="stable")
-    s = h[order]
-    return order, np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.empty(0, int)
-
-
-def _first_level(window: int):
-    """Rows (key, rid, value, settled): the half-length fingerprints of a batch, with
-    the fingerprint as key and the document as value. What two documents of the
-    batch share is settled for them (another key for each row, the fingerprint as
-    value) and sent on as its smallest and largest document (rid NULL)."""
+    order = np.lexsort(h)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([x[order][1:] != x[order][:-1] for x in h], axis=0)
+    return order, np.flatnonzero(new)
+
+
+def _blocks(b: pa.RecordBatch, prints) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """For blocks of consecutive rows of a batch: the row of each fingerprint and the
+    arrays that ``prints(text, known)`` gives, joined; a text is never divided."""
+    off = np.asarray(b.column(3).offsets)
+    known = np.asarray(b.column(3).values).view(np.uint64)
+    rows: list[np.ndarray] = []
+    got: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for i, data in enumerate(binary_rows(b.column(2))):
+        found = prints(data, known[off[i] : off[i + 1]])
+        if len(found[0]):
+            rows.append(np.full(len(found[0]), i, np.int32))
+            got.append(found)
+            size += len(found[0])
+        if size >= BLOCK or (size and i == b.num_rows - 1):
+            yield np.concatenate(rows), [np.concatenate(c) for c in zip(*got, strict=True)]
+            rows, got, size = [], [], 0
+    if size:
+        yield np.concatenate(rows), [np.concatenate(c) for c in zip(*got, strict=True)]
+
+
+def _level(window: int, length: int, before: int):
+    """Rows (key, rid, value, settled): the representatives, at this length, of the
+    surviving windows, with the fingerprint as key and the document as value. What two
+    documents of a block share is settled for them (another key for each row, the
+    fingerprint as value) and sent on as its smallest and largest document (rid NULL)."""
+
+    def prints(data: np.ndarray, known: np.ndarray) -> tuple[np.ndarray]:
+        words = word_hashes(data, lower=False)
+        p = _alive(words, window, before, known)
+        if not len(p):
+            return (np.empty(0, np.uint64),)
+        return (np.unique(sliding_min(grams(words, length), window - length + 1)[p]),)
 
     def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rid, doc = np.asarray(b.column(0)), np.asarray(b.column(1))
-            hs, at = [], []
-            for i, data in enumerate(binary_rows(b.column(2))):
-                u = np.unique(_halves(data, window)[1])
-                hs.append(u)
-                at.append(np.full(len(u), i, np.int32))
-            h, at = np.concatenate(hs) if hs else np.empty(0, np.uint64), np.concatenate(at) if at else np.empty(0, np.int32)
-            if not len(h):
-                continue
-            order, start = _groups(h)
-            h, d, r = h[order], doc[at[order]], rid[at[order]]
-            low, high = np.minimum.reduceat(d, start), np.maximum.reduceat(d, start)
-            size = np.diff(np.append(start, len(h)))
-            shared = low < high
-            every = np.repeat(shared, size)
-            single = start[~shared]  # equal ids only: one row stands for them ...
-            rest = np.flatnonzero(~every & ~np.isin(np.arange(len(h)), single))  # ... and the others follow it
-            n = int(every.sum())
-            key = np.concatenate([mix(h[every] ^ r[every].view(np.uint64)), h[start[shared]], h[start[shared]], h[single], h[rest]])
-            value = np.concatenate([h[every].view(np.int64), low[shared], high[shared], d[single], d[rest]])
-            out_r = np.concatenate([r[every], np.zeros(2 * shared.sum(), np.int64), r[single], r[rest]])
-            settled = np.arange(len(key)) < n
-            null = ~settled & (np.arange(len(key)) < n + 2 * shared.sum())
-            yield pa.RecordBatch.from_arrays([_long(key), pa.array(out_r, pa.int64(), mask=null), pa.array(value), pa.array(settled)],
-                                             names=["key", "rid", "value", "settled"])
+            for at, (h,) in _blocks(b, prints):
+                order, start = _groups(h)
+                h, d, r = h[order], doc[at[order]], rid[at[order]]
+                low, high = np.minimum.reduceat(d, start), np.maximum.reduceat(d, start)
+                size = np.diff(np.append(start, len(h)))
+                shared = low < high
+                every = np.repeat(shared, size)
+                n = int(every.sum())
+                key = np.concatenate([mix(h[every] ^ r[every].view(np.uint64)), h[start[shared]], h[start[shared]], h[~every]])
+                value = np.concatenate([h[every].view(np.int64), low[shared], high[shared], d[~every]])
+                out_r = np.concatenate([r[every], np.zeros(2 * shared.sum(), np.int64), r[~every]])
+                settled = np.arange(len(key)) < n
+                null = ~settled & (np.arange(len(key)) < n + 2 * shared.sum())
+                yield pa.RecordBatch.from_arrays([_long(key), pa.array(out_r, pa.int64(), mask=null), pa.array(value), pa.array(settled)],
+                                                 names=["key", "rid", "value", "settled"])
 
     return level
 
 
-def _second_level(window: int):
-    """Rows (h, rid, doc, start, stop): full windows whose half is repeated. Where
-    two documents of the batch share one, all but the earliest are settled
-    (h NULL), as runs of window starts; the others are sent on."""
+def _last_level(window: int, before: int):
+    """Rows (h, check, rid, doc, start, stop): the surviving windows at full length. Where
+    two documents of a block share one, all but the earliest are settled (h NULL), as
+    runs of window starts; the others are sent on."""
+
+    def prints(data: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
+        words = word_hashes(data, lower=False)
+        p = _alive(words, window, before, known)
+        if not len(p):
+            return np.empty(0, np.uint64), np.empty(0, np.int32), p
+        other = grams(word_hashes(data, lower=False, family=1), window)[p]
+        return grams(words, window)[p], (other >> U(32)).astype(np.uint32).view(np.int32), p
 
     def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["h", "check", "rid", "doc", "start", "stop"]
         for b in batches:
             rid, doc = np.asarray(b.column(0)), np.asarray(b.column(1))
-            off = np.asarray(b.column(3).offsets)
-            known = np.asarray(b.column(3).values).view(np.uint64)
-            hs, at, pos = [], [], []
-            for i, data in enumerate(binary_rows(b.column(2))):
-                words, low = _halves(data, window)
-                p = np.flatnonzero(np.isin(low, known[off[i] : off[i + 1]]))
-                if len(p):
-                    hs.append(grams(words, window)[p])
-                    at.append(np.full(len(p), i, np.int64))
-                    pos.append(p)
-            if not hs:
-                continue
-            h, at, pos = np.concatenate(hs), np.concatenate(at), np.concatenate(pos)
-            order, start = _groups(h)
-            d = doc[at[order]]
-            low = np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(h))))
-            late = np.zeros(len(h), bool)
-            late[order] = d > low
-            la, lp = at[late], pos[late]  # in order of document, then place
-            if len(la):
-                first = np.concatenate([[True], (la[1:] != la[:-1]) | (lp[1:] != lp[:-1] + 1)])
-                last = np.append(first[1:], True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(int(first.sum()), pa.int64()), _long(rid[la[first]]), _long(doc[la[first]]),
-                     pa.array(lp[first], pa.int64()), pa.array(lp[last] + 1, pa.int64())], names=["h", "rid", "doc", "start", "stop"])
-            ea, ep = at[~late], pos[~late]
-            yield pa.RecordBatch.from_arrays([_long(h[~late]), _long(rid[ea]), _long(doc[ea]), pa.array(ep, pa.int64()),
-                                              pa.array(ep + 1, pa.int64())], names=["h", "rid", "doc", "start", "stop"])
+            for at, (h, check, pos) in _blocks(b, prints):
+                order, start = _groups(check, h)
+                d = doc[at[order]]
+                low = np.repeat(np.minimum.reduceat(d, start), np.diff(np.append(start, len(h))))
+                late = np.zeros(len(h), bool)
+                late[order] = d > low
+                la, lp = at[late], pos[late]  # in order of document, then place
+                if len(la):
+                    first = np.concatenate([[True], (la[1:] != la[:-1]) | (lp[1:] != lp[:-1] + 1)])
+                    last = np.append(first[1:], True)
+                    n = int(first.sum())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), _long(rid[la[first]]), _long(doc[la[first]]),
+                         pa.array(lp[first], pa.int64()), pa.array(lp[last] + 1, pa.int64())], names=names)
+                ea, ep = at[~late], pos[~late]
+                yield pa.RecordBatch.from_arrays([_long(h[~late]), pa.array(check[~late]), _long(rid[ea]), _long(doc[ea]),
+                                                  pa.array(ep, pa.int64()), pa.array(ep + 1, pa.int64())], names=names)
 
     return level
 
 
 def repeated_windows(spark: SparkSession, docs: DataFrame, window: int = 13, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """(rid, whole, start, stop): for every row key, the runs of window starts that
-    also start in a document with a smaller id; ``whole`` marks exact copies of an
-    earlier document, all of whose windows do."""
+                     text_col: str = "text", first: int = FIRST) -> DataFrame:
+    """(rid, start, stop): for every row key, the runs of window starts that also start
+    in a document with a smaller id."""
     src = docs.select(row_key(id_col, text_col).alias("rid"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"),
                       F.col(text_col).cast("binary").alias("text"))
-    # whole texts: a copy of an earlier document needs no windows
-    prints = src.where(F.col("text").isNotNull()).select("rid", "doc", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"),
-                                                         F.length("text").alias("n"))
-    first = prints.groupBy("a", "b", "n").agg(F.min("doc").alias("first"), F.max("doc").alias("latest")).where("first < latest")
-    copies = prints.join(first, ["a", "b", "n"]).where("doc > first").select("rid").distinct()
-    copies = stage(spark, copies, "copies")
-
-    half = map_arrow(src, _first_level(window), "key long, rid long, value long, settled boolean")
+    known, before = None, 0
+
+    def texts() -> DataFrame:
+        """The documents that still have candidates, each with its repeated fingerprints."""
+        if known is None:
+            return src.withColumn("known", F.array().cast("array<long>"))
+        return src.join(known.groupBy("rid").agg(F.collect_set("h").alias("known")), "rid").select("rid", "doc", "text", "known")
+
+    *shorter, last = lengths(window, first)
     w = Window.partitionBy("key")
-    seen = half.select("*", *[f(F.when(~F.col("settled"), F.col("value"))).over(w).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))])
-    seen = seen.where("rid is not null and (settled or low < high)").select("rid", F.when(F.col("settled"), F.col("value")).otherwise(F.col("key")).alias("h"))
-    halves = stage(spark, seen, "halves")
-
-    todo = halves.join(copies, "rid", "left_anti").groupBy("rid").agg(F.collect_set("h").alias("known"))
-    full = map_arrow(
-        src.join(todo, "rid").select("rid", "doc", "text", "known"), _second_level(window), "h long, rid long, doc long, start long, stop long")
-    full = stage(spark, full, "windows")
+    for length in shorter:
+        rows = map_arrow(texts(), _level(window, length, before), "key long, rid long, value long, settled boolean")
+        seen = rows.select("*", *[f(F.when(~F.col("settled"), F.col("value"))).over(w).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))])
+        seen = seen.where("rid is not null and (settled or low < high)").select("rid", F.when(F.col("settled"), F.col("value")).otherwise(F.col("key")).alias("h"))
+        found = stage(spark, seen, f"repeated-{length}")
+        drop_stage(spark, known)
+        known, before = found, length
+        if known.isEmpty():  # no candidate survives: nothing longer can repeat
+            break
+
+    full = stage(spark, map_arrow(texts(), _last_level(window, before), "h long, check int, rid long, doc long, start long, stop long"), "windows")
+    drop_stage(spark, known)
     settled = full.where("h is null").select("rid", "start", "stop")
-    rest = full.where("h is not null").select("rid", "doc", "start", "stop", F.min("doc").over(Window.partitionBy("h")).alias("low"))
-    runs = settled.unionByName(rest.where("doc > low").select("rid", "start", "stop"))
-    out = runs.withColumn("whole", F.lit(False)).unionByName(
-        copies.select("rid", F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("stop"), F.lit(True).alias("whole")))
-    return stage(spark, out.select("rid", "whole", "start", "stop"), "runs")
+    rest = full.where("h is not null").select("rid", "doc", "start", "stop", F.min("doc").over(Window.partitionBy("h", "check")).alias("low"))
+    runs = stage(spark, settled.unionByName(rest.where("doc > low").select("rid", "start", "stop")), "runs")
+    drop_stage(spark, full)
+    return runs
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 13, id_col: str = "doc_id",
@@ -171,21 +208,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 13, id_co
     """(id, n_words, n_removed, spans, kept): ``spans`` are the removed runs of
     words [start, stop), ``kept`` the remaining words joined by one space."""
     runs = repeated_windows(spark, docs, window, id_col, text_col)
-    per = runs.groupBy("rid").agg(F.max("whole").alias("whole"), F.collect_list(F.when(~F.col("whole"), F.struct("start", "stop"))).alias("runs"))
-    per = per.select("rid", "whole", F.transform("runs", lambda r: r["start"]).alias("start"), F.transform("runs", lambda r: r["stop"]).alias("stop"))
+    per = runs.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
+    per = per.select("rid", F.transform("runs", lambda r: r["start"]).alias("start"), F.transform("runs", lambda r: r["stop"]).alias("stop"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            whole, start, stop = (b.column(k) for k in (2, 3, 4))
+            start, stop = b.column(2), b.column(3)
             out: list[tuple] = []
             for i in range(b.num_rows):
                 t = b.column(1)[i].as_py()
                 words = t.split() if t else []
                 n = len(words)
                 gone = np.zeros(n + 1, np.int32)
-                if whole[i].as_py() and n >= window:
-                    gone[:] = 1
-                elif start[i].is_valid and len(start[i]):
+                if start[i].is_valid and len(start[i]):
                     np.add.at(gone, np.asarray(start[i].values), 1)
                     np.add.at(gone, np.minimum(np.asarray(stop[i].values) + window - 1, n), -1)
                     gone = np.cumsum(gone)
@@ -203,7 +238,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 13, id_co
 
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(row_key(id_col, text_col).alias("rid"), id_col, F.col(text_col).cast("binary").alias("__text"))
-    src = src.join(per, "rid", "left").select(id_col, "__text", F.coalesce("whole", F.lit(False)).alias("whole"), "start", "stop")
+    src = src.join(per, "rid", "left").select(id_col, "__text", "start", "stop")
     return map_arrow(
         src, cut, f"`{id_col}` {kind}, n_words long, n_removed long, spans array<struct<start:bigint,stop:bigint>>, kept string")
 
