@@ -168,6 +168,17 @@ def _last_level(window: int, before: int):
     return level
 
 
+LEVEL = "key long, rid long, value long, settled boolean"
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """(rid, h) from a level's rows: the fingerprints that two documents hold."""
+    w = Window.partitionBy("key")
+    seen = rows.select("*", *[f(F.when(~F.col("settled"), F.col("value"))).over(w).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))])
+    seen = seen.where("rid is not null and (settled or low < high)")
+    return seen.select("rid", F.when(F.col("settled"), F.col("value")).otherwise(F.col("key")).alias("h"))
+
+
 def repeated_windows(spark: SparkSession, docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                      text_col: str = "text", first: int = FIRST) -> DataFrame:
     """(rid, start, stop): for every row key, the runs of window starts that also start
@@ -182,13 +193,9 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, window: int = 13, id_
             return src.withColumn("known", F.array().cast("array<long>"))
         return src.join(known.groupBy("rid").agg(F.collect_set("h").alias("known")), "rid").select("rid", "doc", "text", "known")
 
-    *shorter, last = lengths(window, first)
-    w = Window.partitionBy("key")
-    for length in shorter:
-        rows = map_arrow(texts(), _level(window, length, before), "key long, rid long, value long, settled boolean")
-        seen = rows.select("*", *[f(F.when(~F.col("settled"), F.col("value"))).over(w).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))])
-        seen = seen.where("rid is not null and (settled or low < high)").select("rid", F.when(F.col("settled"), F.col("value")).otherwise(F.col("key")).alias("h"))
-        found = stage(spark, seen, f"repeated-{length}")
+    for length in lengths(window, first)[:-1]:
+        # frames of a level are not named here: a name would keep its shuffle files through the next one
+        found = stage(spark, _repeated(map_arrow(texts(), _level(window, length, before), LEVEL)), f"repeated-{length}")
         drop_stage(spark, known)
         known, before = found, length
         if known.isEmpty():  # no candidate survives: nothing longer can repeat
@@ -197,7 +204,8 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, window: int = 13, id_
     full = stage(spark, map_arrow(texts(), _last_level(window, before), "h long, check int, rid long, doc long, start long, stop long"), "windows")
     drop_stage(spark, known)
     settled = full.where("h is null").select("rid", "start", "stop")
-    rest = full.where("h is not null").select("rid", "doc", "start", "stop", F.min("doc").over(Window.partitionBy("h", "check")).alias("low"))
+    rest = full.where("h is not null").select("h", "check", "rid", "doc", "start")
+    rest = rest.select("rid", "doc", "start", (F.col("start") + 1).alias("stop"), F.min("doc").over(Window.partitionBy("h", "check")).alias("low"))
     runs = stage(spark, settled.unionByName(rest.where("doc > low").select("rid", "start", "stop")), "runs")
     drop_stage(spark, full)
     return runs
