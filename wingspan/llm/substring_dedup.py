@@ -133,7 +133,7 @@ def _level(window: int, length: int, before: int):
 def _last_level(window: int, before: int):
     """Rows (h, check, rid, doc, start, stop): the surviving windows at full length. Where
     two documents of a block share one, all but the earliest are settled (h NULL), as
-    runs of window starts; the others are sent on."""
+    runs of window starts; the others are sent on, without ``stop``."""
 
     def prints(data: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
         words = word_hashes(data, lower=False)
@@ -163,7 +163,7 @@ def _last_level(window: int, before: int):
                          pa.array(lp[first], pa.int64()), pa.array(lp[last] + 1, pa.int64())], names=names)
                 ea, ep = at[~late], pos[~late]
                 yield pa.RecordBatch.from_arrays([_long(h[~late]), pa.array(check[~late]), _long(rid[ea]), _long(doc[ea]),
-                                                  pa.array(ep, pa.int64()), pa.array(ep + 1, pa.int64())], names=names)
+                                                  pa.array(ep, pa.int64()), pa.nulls(len(ep), pa.int64())], names=names)
 
     return level
 
