@@ -14,6 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wingspan.functions.geometry import POINT_TYPE, lonlat_warning, point_violation
 from wingspan.functions.scalars import within_tolerance
 from wingspan.operators.relational import _pairs, Pairs
 from wingspan.plans.model import MODEL, VARCHAR
@@ -121,12 +122,14 @@ def section_length_check(sections: DataFrame, transect_keys: Sequence[str], sect
 
 
 def row_rules(name: str, columns: Sequence[str]) -> dict[str, Column]:
-    """Q3 and Q4 of a model table as predicates on one row."""
+    """Q3, Q4 and the geometry guard (F16) of a model table as predicates on one row."""
     spec, rules = MODEL[name], {}
     if nn := [c for c in spec.not_null if c in columns]:
         rules["not_null"] = reduce(or_, [F.col(c).isNull() for c in nn])
     if vc := [c for c in spec.varchar if c in columns]:
         rules["varchar_255"] = reduce(or_, [F.coalesce(F.length(F.col(c)) > VARCHAR, F.lit(False)) for c in vc])
+    if pts := [f.name for f in spec.schema.fields if f.dataType.simpleString() == POINT_TYPE and f.name in columns]:
+        rules["point"] = reduce(or_, [F.coalesce(point_violation(c), F.col(c).isNotNull()) for c in pts])
     return rules
 
 
@@ -195,8 +198,6 @@ def load_warnings(m_site: DataFrame, b_recorder: DataFrame, m_site_geo: DataFram
     * ``degree_like_point``: coordinates within +/-180/+/-90, i.e. probably
       degrees stored as metres of the projection.
     """
-    from wingspan.functions.geometry import lonlat_warning
-
     site_dups = key_violations(m_site.where(F.col("bms_site_id").isNotNull()), ["bms_id", "bms_site_id"])
     obs = b_recorder.select("bms_id", F.col("bms_observer_id").try_cast("int").alias("obs_int")).where(
         F.col("obs_int").isNotNull())

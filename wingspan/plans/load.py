@@ -59,16 +59,24 @@ def by_position(df: DataFrame, table: str) -> DataFrame:
     return conform(df.toDF(*names), table)
 
 
-DIM_BROADCAST_ROWS = 2_000_000  # a key-only dimension row is ~30 bytes: at most ~60 MB per executor
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a (narrow) dimension only after counting it: bounded by
-    ``max_rows``; beyond that the planner's shuffle join (with AQE skew
-    splitting) takes over. Counting a frame read back from the checkpoint
-    folder costs only file metadata."""
-    limit = int(df.sparkSession.conf.get("spark.wingspan.dimBroadcastRows", str(max_rows)))
-    return F.broadcast(df) if df.count() <= limit else df
+DIM_BROADCAST_ROWS = 2_000_000
+DIM_BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS, max_bytes: int = DIM_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a (narrow) dimension only after measuring it: at most ``max_rows`` rows
+    (``spark.wingspan.dimBroadcastRows``) and ``max_bytes`` bytes of values
+    (``spark.wingspan.dimBroadcastBytes``; text by its length, others 8 bytes, 8 more a
+    column and 16 a row for the row's layout). Beyond that the planner's shuffle join
+    (with AQE skew splitting) takes over. Without text columns this is a count, which
+    for a frame read back from the checkpoint folder costs only file metadata."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get("spark.wingspan.dimBroadcastRows", str(max_rows)))
+    most = int(conf.get("spark.wingspan.dimBroadcastBytes", str(max_bytes)))
+    fixed = 16 + 16 * len(df.columns)
+    text = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, t in df.dtypes if t in ("string", "binary")]
+    n, size = df.agg(F.count(F.lit(1)), F.sum(sum(text, F.lit(0))) if text else F.lit(0)).first()
+    return F.broadcast(df) if n <= rows and n * fixed + (size or 0) <= most else df
 
 
 # --- C1 -----------------------------------------------------------------------
@@ -154,10 +162,10 @@ def site_dim(sites: DataFrame, schemes: DataFrame, scheme_id: str | None = None,
     ).distinct()
     d = raw.select(
         "bms_id", "transect_id",
-        F.col("transect_length").cast(MODEL["m_site"].schema["transect_length"].dataType).alias("transect_length"),
+        F.col("transect_length").try_cast(MODEL["m_site"].schema["transect_length"].dataType).alias("transect_length"),
         F.col("section_id").cast("string").alias("section_id"),
-        F.col("section_length").cast(MODEL["m_site"].schema["section_length"].dataType).alias("section_length"),
-        F.col("section_transect_length_equal").cast("boolean").alias("section_transect_length_equal"),
+        F.col("section_length").try_cast(MODEL["m_site"].schema["section_length"].dataType).alias("section_length"),
+        F.col("section_transect_length_equal").try_cast("boolean").alias("section_transect_length_equal"),
         F.col("monitoring_type").cast("string").alias("monitoring_type"),
         assign_int(F.col("site_info_quality")).alias("site_info_quality"),
         assign_int(F.col("bms_site_id")).alias("bms_site_id"),
@@ -224,6 +232,12 @@ def visit_fact(visits: DataFrame, recorders: DataFrame, schemes: DataFrame, sche
 
 
 # --- C7 -----------------------------------------------------------------------
+def read_text_keys(df: DataFrame, names: list[str], read=lambda c: F.col(c).try_cast("int")) -> DataFrame:
+    """Staging keys that came as text, read as integers (NULL if they are none, see
+    ``sources.rejects``); keys of other types stay."""
+    return df.withColumns({c: read(c) for c in names if dict(df.dtypes)[c] == "string"})
+
+
 def count_fact(counts: DataFrame, visits: DataFrame, sites: DataFrame, scheme_id: str | None = None,
                start: int | Column = 0) -> DataFrame:
     """``b_count``: counts joined to their visit and site within the
@@ -238,6 +252,7 @@ def count_fact(counts: DataFrame, visits: DataFrame, sites: DataFrame, scheme_id
         sites = sites.where(F.col("bms_id") == F.lit(scheme_id))
         if "bms_id" not in counts.columns:
             counts = counts.withColumn("bms_id", F.lit(scheme_id))
+    counts = read_text_keys(counts, ["bms_visit_id", "bms_site_id"])
     v = visits.select(F.col("bms_id").alias("__vb"), F.col("bms_visit_id").alias("__vk"), "visit_id")
     s = broadcast_if_small(sites.select(F.col("bms_id").alias("__sb"), F.col("bms_site_id").alias("__sk"),
                                         "site_id"))
@@ -255,6 +270,7 @@ def count_fact(counts: DataFrame, visits: DataFrame, sites: DataFrame, scheme_id
 def unmatched_counts(counts: DataFrame, visits: DataFrame, sites: DataFrame) -> DataFrame:
     """Counts dropped by ``count_fact``'s inner joins (no visit, or a visit
     but no site), each staging row once."""
+    counts = read_text_keys(counts, ["bms_visit_id", "bms_site_id"])
     v = visits.select(F.col("bms_id").alias("__vb"), F.col("bms_visit_id").alias("__vk"))
     s = sites.select(F.col("bms_id").alias("__sb"), F.col("bms_site_id").alias("__sk"))
     on_visit = (counts["bms_id"] == v["__vb"]) & (counts["bms_visit_id"] == v["__vk"])
@@ -275,7 +291,7 @@ def geo_dim(raw_sites: DataFrame, sites: DataFrame, scheme_id: str | None = None
     if scheme_id is not None:
         g = g.withColumn("bms_id", F.lit(scheme_id))
         sites = sites.where(F.col("bms_id") == F.lit(scheme_id))
-    g = add_column_if_absent(g, "site_id", "long")
+    g = read_text_keys(add_column_if_absent(g, "site_id", "long"), ["bms_site_id"], assign_int)
     g = update_from(g, sites, [("bms_id", "bms_id"), ("bms_site_id", "bms_site_id")], {"site_id": "site_id"})
     g = drop_if_present(g, "centroid_geom").withColumn("centroid_geom", make_point("longitude", "latitude"))
     g = drop_if_present(g, "section_geom_true").withColumn("section_geom_true", section_flag("geo_info_level"))

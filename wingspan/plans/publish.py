@@ -8,6 +8,7 @@ Layout of a store root::
     <root>/_commits/<version>.json              see ``commits``
     <root>/_deletes/<id>/part-*.parquet         key values of a delete set
     <root>/_leases/<id>                         versions that a reader still needs
+    <root>/_rejects/<id>/part-*.parquet         values that a load could not read
 
 A load appends its rows under a new ``load_id``, counting and checking them as
 they are written (``Observation``), and only then, after every check passed,
@@ -567,6 +568,17 @@ class Store:
         history is not read."""
         return sorted((r["tbl"], r["load_id"]) for r in self.log.state().retired)
 
+    # -- rejects -------------------------------------------------------------
+    def keep_rejects(self, found: DataFrame, strict: bool = False) -> DataFrame:
+        """F8: write the rejects of a load, ``(tbl, bms_id, col, value, n)``, beside the
+        tables, counted by the writing job. ``strict`` refuses the load if there are any;
+        the list stays and the refusal names its folder."""
+        path, seen = self._path("_rejects", uuid.uuid4().hex[:16]), Observation()
+        found.observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("n")).write.parquet(path)
+        if strict and (n := seen.get["n"]):
+            raise PublishError(f"load refused: {n} rejected values, listed in {path}")
+        return self.spark.read.schema(found.schema).parquet(path)
+
     def vacuum(self) -> int:
         """Remove the folders of superseded loads and delete sets (the storage half of the
         source's VACUUM) that no lease needs; returns how many folders were removed."""

@@ -1,7 +1,8 @@
 """One call per scheme (C9) or per delivery of many schemes (C10): raw CSV
 files to the published store, with audit and warnings.
 
-    read_raw (S1) -> clean_visits (C3) -> resolve_species (C2) ->
+    read_raw (S1) -> clean_visits (C3) -> one staging write with the rejects (K1, F8) ->
+    resolve_species (C2) ->
     site_dim / recorder_dim / visit_fact / count_fact / geo_dim (C4-C8) ->
     Store.replace_schemes (K5: checks, then publish) -> audit (A4)
 """
@@ -9,6 +10,7 @@ files to the published store, with audit and warnings.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,10 @@ from pyspark.sql import functions as F
 from wingspan.operators.quality import load_warnings
 from wingspan.plans import load as L
 from wingspan.plans.model import CHECKLIST
-from wingspan.plans.publish import PublishError, Store
-from wingspan.session import scratch_scope
+from wingspan.plans.publish import Store
+from wingspan.session import scratch_path, scratch_scope
 from wingspan.sources.readers import Scheme, read_raw, scheme_detail
+from wingspan.sources.rejects import CORRUPT, REJECTS, RULES, listed, split, with_rejects
 
 
 @dataclass(frozen=True)
@@ -41,22 +44,18 @@ class LoadReport:
     warnings: DataFrame  # fan-out traps and suspicious values
     cascade: dict  # rows removed from children that were not reloaded
     unknown_species: DataFrame  # names without a species: (bms_id, sci_name, n)
-    rejects: DataFrame  # malformed records and unreadable visit values: (bms_id, col, value, n)
+    rejects: DataFrame  # malformed records and unreadable values: (tbl, bms_id, col, value, n)
 
 
-def load_reference(store: Store, checklist: DataFrame) -> str:
+def load_reference(store: Store, checklist: DataFrame, strict: bool = False) -> str:
     """Publish the checklist and the species table built from it, together and
-    before any scheme; a later checklist replaces both."""
-    return store.replace_schemes([], {CHECKLIST: checklist, "b_species_id": L.species_reference(checklist)})
-
-
-def malformed(df: DataFrame) -> DataFrame:
-    """Malformed records of a raw table, as ``(bms_id, col, value, n)``. Every column is
-    named, since the CSV reader only looks at columns that a query uses."""
-    others = [F.col(c).cast("string") for c in df.columns if c != "_corrupt_record"]
-    bad = df.where(F.col("_corrupt_record").isNotNull() & (F.concat_ws(",", *others) >= ""))  # the second always holds
-    return bad.groupBy("bms_id", F.lit("_corrupt_record").alias("col"), F.col("_corrupt_record").alias("value")).agg(
-        F.count(F.lit(1)).alias("n"))
+    before any scheme; a later checklist replaces both. Of a checklist read with its
+    rejects, these are kept in the store (``Store.keep_rejects``), or ``strict`` refuses it."""
+    with scratch_scope(store.spark):
+        if REJECTS in checklist.columns:
+            checklist, bad = split(checklist, scratch_path(store.spark, "checklist"))
+            store.keep_rejects(listed(bad, CHECKLIST), strict)
+        return store.replace_schemes([], {CHECKLIST: checklist, "b_species_id": L.species_reference(checklist)})
 
 
 def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, SchemeFiles],
@@ -66,9 +65,10 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
     ``checklist`` needs ``Search_Name``, ``Accepted_Name``, ``Systematic_Order``
     and the file ordinal ``_ordinal`` (``read_checklist`` provides them).
     ``schemas`` may declare the raw tables' DDL (``sites``/``visits``/``counts``);
-    without it types are inferred, which reads each file twice. ``strict``
+    without it types are inferred, which reads each file twice. Each raw table is
+    then scanned once, into a staging copy that all builders read. ``strict``
     refuses a delivery with rejects, as the source system does; otherwise they
-    are listed in the report.
+    are listed in the report. Either way the list is kept in the store.
     """
     schemas = schemas or {}
     ids = [s.bms_id for s in deliveries]
@@ -82,23 +82,23 @@ def load_schemes(spark: SparkSession, store: Store, deliveries: dict[Scheme, Sch
         return out
 
     def lines(kind: str) -> DataFrame:
-        return raw(kind).drop("_corrupt_record")
+        return L.clean_visits(raw(kind)) if kind == "visits" else raw(kind)
+
+    def staged(kind: str) -> tuple[DataFrame, DataFrame]:
+        return split(with_rejects(lines(kind), RULES[kind]), scratch_path(spark, kind))
 
     detail = scheme_detail(spark, list(deliveries))
-    visits = L.clean_visits(lines("visits"))
-    counts = L.resolve_species(lines("counts"), checklist)
     entries = store.manifest()
     starts = {t: store._hw(entries, t) for t in SEQUENCES}
-    src = L.SchemeSources(lines("sites"), visits, counts)
-    rejects = L.load_rejects(visits)
-    for kind in ("sites", "visits", "counts"):
-        if "_corrupt_record" in (frame := raw(kind)).columns:
-            rejects = rejects.unionByName(malformed(frame))
-    if strict and (n := rejects.agg(F.sum("n")).first()[0]):
-        raise PublishError(f"load refused: {n} rejected values")
-    with scratch_scope(spark):  # numbering copies are removed once published (or refused)
+    with scratch_scope(spark):  # staging and numbering copies are removed once published (or refused)
+        copies = dict(zip(RULES, L.together(*[lambda k=k: staged(k) for k in RULES]), strict=True))
+        found = [listed(bad, kind) for kind, (_, bad) in copies.items()]
+        rejects = store.keep_rejects(reduce(DataFrame.unionByName, found), strict)
+        rows = {kind: df for kind, (df, _) in copies.items()}
+        src = L.SchemeSources(rows["sites"], rows["visits"], L.resolve_species(rows["counts"], checklist))
         tables = L.load_tables(detail, src, starts=starts)
         load_id = store.replace_schemes(ids, tables, trusted_keys=True)
+    counts = L.resolve_species(lines("counts").drop(CORRUPT), checklist)  # for reports, from the files
     published = {t: store.table(t) for t in ("m_site", "b_recorder", "m_visit", "b_count", "m_site_geo")}
     mine = {t: df.where(F.col("bms_id").isin(*ids)) for t, df in published.items()}
     return LoadReport(

@@ -16,6 +16,7 @@ from wingspan.plans import load as L
 from wingspan.plans import publish as P
 from wingspan.plans import queries as Q
 from wingspan.session import scratch_path
+from wingspan.sources.rejects import RULES, listed, split, with_rejects
 from wingspan.sources.readers import Scheme, for_scheme, read_checklist, read_raw, scheme_detail, staged
 
 SEQUENCES = ("m_site", "b_recorder", "m_visit", "b_count")
@@ -138,6 +139,56 @@ def q_checklist_scan(spark, sf):
     return read_checklist(spark, path, None).select("Search_Name", "Accepted_Name", "Systematic_Order", "Aggregate", "Family")
 
 
+def _unreadable(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Staging tables as text in which some values cannot be read, by kind."""
+    s, o, li, part = (Q.table(spark, sf, n) for n in ("supplier", "orders", "lineitem", "part"))
+    text = lambda c: F.col(c).cast("string")
+    sites = s.select(
+        text("s_nationkey").alias("bms_id"), F.when(F.col("s_nationkey") < 5, F.concat(F.lit("S"), "s_nationkey")).otherwise(text("s_suppkey")).alias("bms_site_id"),
+        F.when(F.col("s_acctbal") < 0, F.lit("n/a")).otherwise(text("s_acctbal")).alias("section_length"),
+        F.when(F.col("s_nationkey") == 24, F.lit("east")).alias("longitude"))
+    visits = o.select(
+        F.col("o_orderstatus").alias("bms_id"), F.when(F.col("o_orderstatus") == "P", F.lit("9999999999")).otherwise(text("o_orderkey")).alias("bms_visit_id"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("2023-13-45")).otherwise("2023-6-1").alias("visit_date"),
+        F.when(F.col("o_totalprice") > 100000, F.lit("calm")).otherwise("3").alias("visit_wind"))
+    counts = li.select(
+        F.col("l_returnflag").alias("bms_id"), text("l_orderkey").alias("bms_visit_id"), F.when(F.col("l_linenumber") == 7, F.lit("x7")).otherwise(text("l_suppkey")).alias("bms_site_id"),
+        F.when(F.col("l_quantity") > 45, F.lit("many")).otherwise(text("l_quantity")).alias("count"))
+    path = scratch_path(spark, "checklist")
+    given = {2: F.col("p_name"), 3: F.col("p_brand"), 4: F.when(F.col("p_size") > 45, F.concat(F.lit("no. "), "p_size")).otherwise(text("p_partkey")),
+             14: F.when(F.col("p_size") < 3, F.lit("perhaps")).otherwise("1")}
+    part.select(*[given.get(i, F.lit("")).alias(f"c{i}") for i in range(31)]).write.option("header", True).option("escape", '"').csv(path)
+    frames = {"sites": sites, "visits": visits, "counts": counts}
+    return {**{k: with_rejects(df, RULES[k]) for k, df in frames.items()}, "checklist": read_checklist(spark, path, None, rejects=True)}
+
+
+def q_rejects_by_table(spark, sf):
+    """What four staging tables hold that a load cannot read, each written once
+    with its rejects, and the rows read back beside them."""
+    out = None
+    for kind, df in _unreadable(spark, sf).items():
+        rows, bad = split(df, scratch_path(spark, kind))
+        both = listed(bad, kind).unionByName(rows.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(kind).alias("tbl"), F.lit(None).cast("string").alias("bms_id"), F.lit("rows").alias("col"), F.lit(None).cast("string").alias("value"), "n"))
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def q_text_keys_load(spark, sf):
+    """Counts whose keys came as text and partly cannot be read: what is published, by
+    region and species, beside what is dropped."""
+    detail = Q.schemes_from_regions(spark, sf)
+    sites, visits = Q.sites_by_region(spark, sf), Q.visits_by_region(spark, sf)
+    m_site = L.site_dim(sites, detail)
+    m_visit = L.visit_fact(visits, L.recorder_dim(visits, detail), detail)
+    counts = Q.counts_by_region(spark, sf)
+    counts = counts.withColumn("bms_site_id", F.when(F.col("count") > 45, F.concat(F.lit("x"), "bms_site_id")).otherwise(F.col("bms_site_id").cast("string")))
+    counts = counts.withColumn("bms_visit_id", F.col("bms_visit_id").cast("string"))
+    kept = L.count_fact(counts, m_visit, m_site).groupBy("bms_id", "species_id").agg(F.count(F.lit(1)).alias("n"), F.sum("butterfly_count").alias("total"))
+    lost = L.unmatched_counts(counts, m_visit, m_site).groupBy("bms_id").agg(F.count(F.lit(1)).alias("n"), F.sum("count").cast("long").alias("total"))
+    return kept.unionByName(lost.withColumn("species_id", F.lit(None).cast("int")))
+
+
 def q_scheme_rows(spark, sf):
     """Scheme parameter rows of all nations (S3)."""
     names = sorted(r["n_name"] for r in Q.table(spark, sf, "nation").collect())  # the load's parameters
@@ -177,6 +228,8 @@ STORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_roundtrip": q_export_roundtrip,
     "raw_roundtrip": q_raw_roundtrip,
     "checklist_scan": q_checklist_scan,
+    "rejects_by_table": q_rejects_by_table,
+    "text_keys_load": q_text_keys_load,
     "scheme_rows": q_scheme_rows,
     "update_where": q_update_where,
     "point_guard": q_point_guard,
@@ -241,6 +294,30 @@ STORE_ORACLE: dict[str, str] = {
         SELECT p_name AS "Search_Name", p_name || ',' || p_brand AS "Accepted_Name", CAST(p_partkey AS INTEGER) AS "Systematic_Order",
                p_size > 25 AS "Aggregate", CAST(NULL AS VARCHAR) AS "Family"
         FROM part""",
+    "rejects_by_table": """
+        WITH bad AS (
+          SELECT 'sites' AS tbl, CAST(s_nationkey AS VARCHAR) AS bms_id, 'bms_site_id' AS col, 'S' || s_nationkey AS value FROM supplier WHERE s_nationkey < 5
+          UNION ALL SELECT 'sites', CAST(s_nationkey AS VARCHAR), 'section_length', 'n/a' FROM supplier WHERE s_acctbal < 0
+          UNION ALL SELECT 'sites', CAST(s_nationkey AS VARCHAR), 'longitude', 'east' FROM supplier WHERE s_nationkey = 24
+          UNION ALL SELECT 'visits', o_orderstatus, 'bms_visit_id', '9999999999' FROM orders WHERE o_orderstatus = 'P'
+          UNION ALL SELECT 'visits', o_orderstatus, 'visit_date', '2023-13-45' FROM orders WHERE o_orderpriority = '5-LOW'
+          UNION ALL SELECT 'visits', o_orderstatus, 'visit_wind', 'calm' FROM orders WHERE o_totalprice > 100000
+          UNION ALL SELECT 'counts', l_returnflag, 'bms_site_id', 'x7' FROM lineitem WHERE l_linenumber = 7
+          UNION ALL SELECT 'counts', l_returnflag, 'count', 'many' FROM lineitem WHERE l_quantity > 45
+          UNION ALL SELECT 'checklist', NULL, 'Systematic_Order', 'no. ' || p_size FROM part WHERE p_size > 45
+          UNION ALL SELECT 'checklist', NULL, 'Aggregate', 'perhaps' FROM part WHERE p_size < 3)
+        SELECT tbl, bms_id, col, value, count(*) AS n FROM bad GROUP BY ALL
+        UNION ALL SELECT 'sites', NULL, 'rows', NULL, count(*) FROM supplier
+        UNION ALL SELECT 'visits', NULL, 'rows', NULL, count(*) FROM orders
+        UNION ALL SELECT 'counts', NULL, 'rows', NULL, count(*) FROM lineitem
+        UNION ALL SELECT 'checklist', NULL, 'rows', NULL, count(*) FROM part""",
+    "text_keys_load": _ALL + """
+        SELECT r_name AS bms_id, species_id, count(*) AS n, CAST(sum(butterfly_count) AS BIGINT) AS total FROM cnt WHERE butterfly_count <= 45 GROUP BY ALL
+        UNION ALL
+        SELECT r_name, NULL, count(*), CAST(sum(l_quantity) AS BIGINT)
+        FROM (SELECT ob.r_name, l_quantity, l_quantity <= 45 AND EXISTS (SELECT 1 FROM sr WHERE sr.s_suppkey = l_suppkey AND sr.r_name = ob.r_name) AS met
+              FROM lineitem JOIN ob ON ob.o_orderkey = l_orderkey)
+        WHERE NOT met GROUP BY ALL""",
     "scheme_rows": """
         SELECT n_name AS bms_id, left(n_name, 3) AS country_iso3, n_name || '''s' AS country_name, 'x, y' AS contact_name, '' AS contact_email
         FROM nation""",

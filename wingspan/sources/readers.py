@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from wingspan.functions.scalars import parse_bool
 from wingspan.operators.relational import with_ordinal
 from wingspan.plans.model import CHECKLIST_COLUMNS, MODEL
+from wingspan.sources.rejects import REJECTS, readable_as, with_rejects
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -36,18 +37,23 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return with_ordinal(df, ordinal) if ordinal else df
 
 
-def read_checklist(spark: SparkSession, path: str, ordinal: str | None = "_ordinal") -> DataFrame:
+def read_checklist(spark: SparkSession, path: str, ordinal: str | None = "_ordinal", rejects: bool = False) -> DataFrame:
     """The checklist CSV into its fixed 31-column schema, by position.
 
     Header skipped, comma separated, ``"`` quoted, FAILFAST on a malformed
     row. Booleans are read as text and parsed by the boolean rule (a ``1``
     in a boolean column is legal in the source system); empty text is NULL.
+    A number or boolean that cannot be read is NULL; ``rejects`` lists it in the
+    row's ``REJECTS`` column, by which ``load_reference`` reports or refuses it.
     """
     text_schema = T.StructType([T.StructField(n, T.StringType()) for n, _ in CHECKLIST_COLUMNS])
     raw = (spark.read.schema(text_schema).option("header", True).option("enforceSchema", True)
            .option("quote", '"').option("escape", '"').option("mode", "FAILFAST").csv(path))
     if ordinal:
         raw = with_ordinal(raw, ordinal)
+    if rejects:
+        given = raw.select(*[F.nullif(F.col(n), F.lit("")).alias(n) for n, _ in CHECKLIST_COLUMNS], *([ordinal] if ordinal else []))
+        raw = with_rejects(given, {n: parse_bool if t == "boolean" else readable_as("int") for n, t in CHECKLIST_COLUMNS if t in ("boolean", "int")})
     cols = []
     for name, dtype in CHECKLIST_COLUMNS:
         c = F.nullif(F.col(name), F.lit(""))
@@ -59,7 +65,7 @@ def read_checklist(spark: SparkSession, path: str, ordinal: str | None = "_ordin
             cols.append(c.alias(name))
     if ordinal:
         cols.append(F.col(ordinal))
-    return raw.select(*cols)
+    return raw.select(*cols, *([REJECTS] if rejects else []))
 
 
 @dataclass(frozen=True)
