@@ -106,3 +106,16 @@ def test_levels_leave_one_folder(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(30))) for i in range(4)], "doc_id long, text string")
     assert repeated_windows(spark, docs).groupBy().sum("start").collect()
     assert len(set(os.listdir(folder)) - before) == 1
+
+
+def test_stage_removes_the_shuffles_of_its_write(spark):
+    from pyspark.sql import functions as F
+
+    before = spark.conf.get(common.CLEANUP, None)
+    df = spark.range(1000).groupBy((F.col("id") / 7).cast("int").alias("k")).count()
+    out = common.stage(spark, df, "shuffled")
+    assert spark.conf.get(common.CLEANUP, None) == before
+    # the frame itself can still be used, before and after the folder goes
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
+    common.drop_stage(spark, out)
+    assert df.count() == 143

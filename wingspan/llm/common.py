@@ -25,6 +25,9 @@ from wingspan.session import checkpoint_dir, drop_paths
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Spark's setting that removes a query's shuffle files as soon as the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 U = np.uint64
 _SEED = U(0x9E3779B97F4A7C15)
 
@@ -36,9 +39,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back: cuts
     lineage, survives lost executors, and lets Spark drop the shuffle files of
-    the steps before it."""
+    the steps before it. The write's own shuffles serve nothing else, so Spark
+    is told to remove their files when it ends, not when the frame is collected."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     schema = df.schema
     del df
     release(spark)
