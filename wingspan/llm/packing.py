@@ -30,9 +30,11 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,70 +43,112 @@ from wingspan.llm.common import map_arrow, stage, table, trimmed
 
 #: Length classes of the pattern grid, and pieces in a pattern at most.
 CLASSES = 256
-#: Words whose ids a worker remembers.
+#: Stretches whose ids a worker remembers.
 MEMORY = 300_000
-#: Marks between a letter and a space.
-_MARK = re.compile(r"(?<=[a-z\xe0-\xf6\xf8-\xff])([.,!?;:#$%&*]+) ")
-#: Texts whose lower case is one letter for one letter.
-_LATIN = re.compile("[\x00-\u012f\u0131-\u024f]*")
+#: Bytes of text encoded at a time, in whole rows.
+BLOCK = 1 << 23
+#: Letters that the vocabulary's normalizer and splitter leave as they are.
+_PLAIN = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
+#: Characters of texts (in Arrow's notation) whose lower case is not taken here: beyond
+#: Latin, or not one letter for one letter.
+_FOREIGN = r"[^\x{0}-\x{12f}\x{131}-\x{24f}]"
+_MARK, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,!?;:#$%&*")] = True
+_LETTER[97:123] = True
+
+
+def stretches(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The stretches of all texts to encode, in order, and each text's first one's
+    number (and the end). They lie between spaces and line feeds, and are cut where
+    a letter meets a mark; the vocabulary never joins across either. It lowers case,
+    so that is done here first, and fewer differ."""
+    text = pc.fill_null(column, "").cast(pa.large_string())
+    special = pc.match_substring(text, "<|")  # special tokens stay as they are
+    text = pc.if_else(pc.or_(special, pc.match_substring_regex(text, _FOREIGN)), text, pc.utf8_lower(text))
+    buf = text.buffers()
+    offset = np.frombuffer(buf[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(buf[2] or b"", np.uint8)[offset[0] : offset[-1]]
+    offset = offset - offset[0]
+    at = np.flatnonzero(_MARK[data])
+    at = at[at > 0]
+    before = data[at - 1]  # a letter of one byte, or the second of one of U+00E0 to U+00FF but the division sign
+    at = at[_LETTER[before] | (before >= 0xA0) & (before != 0xB7) & (data[at - 2] == 0xC3)]
+    if (raw := np.asarray(special)).any():
+        at = at[~raw[np.searchsorted(offset, at, side="right") - 1]]
+    keep = (data != 32) & (data != 10)
+    first = np.zeros(len(data) + 1, bool)
+    first[1:] = ~keep
+    first[offset] = True
+    first[at] = True
+    first = first[:-1]
+    cut = np.append(np.flatnonzero(first[keep]), np.count_nonzero(keep))
+    words = pa.LargeStringArray.from_buffers(len(cut) - 1, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(data[keep]))
+    return words, np.searchsorted(np.flatnonzero(first & keep), offset)
 
 
 class Encoder:
     """Token ids of whole texts by the tokenizers library, as packed little-endian
-    32-bit numbers. The vocabulary's splitter never joins across spaces and line
-    feeds, so each distinct stretch between them is encoded once and remembered."""
+    32-bit numbers. Each distinct stretch is encoded once and remembered; Arrow finds
+    the distinct ones of a block and puts their ids in place."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task slot
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        # the same model without the steps that leave plain letters as they are
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         ids = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(ids.values()) + 1, bool)
         self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
 
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        """Stretches to encode: the vocabulary lowers case and ends a token where a
-        letter meets a mark, so both are done here first, and fewer differ."""
-        text = text.replace("\n", " ")
-        if "<|" not in text:  # special tokens stay as they are
-            if _LATIN.fullmatch(text):
-                text = text.lower()
-            text = _MARK.sub(r" \1 ", text)
-        return text.split(" ")
-
     def _learn(self, new: list[str]) -> None:
         """Encode stretches not seen yet. A word of letters only ends with its one
         end-of-word token, so many of them are encoded as one line and cut there."""
-        simple = [w for w in new if w.isalpha()]
-        other = [w for w in new if not w.isalpha()]
-        for at in range(0, len(simple), 200):
-            part = simple[at : at + 200]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            end = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-            if len(end) == len(part) and end[-1] == 4 * len(ids):
-                raw, start = ids.tobytes(), 0
-                for w, e in zip(part, end.tolist(), strict=True):
-                    self.known[w] = raw[start:e]
-                    start = e
-            else:
-                other += part
+        plain, letters, other = [], [], []
+        for w in new:
+            (plain if _PLAIN.fullmatch(w) else letters if w.isalpha() else other).append(w)
+        for tokenizer, words in ((self.plain, plain), (self.tokenizer, letters)):
+            for at in range(0, len(words), 200):
+                part = words[at : at + 200]
+                ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+                end = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+                if len(end) == len(part) and end[-1] == 4 * len(ids):
+                    raw = ids.tobytes()
+                    self.known.update(zip(part, [raw[s:e] for s, e in pairwise([0, *end.tolist()])], strict=True))
+                else:
+                    other += part
         for at in range(0, len(other), 2000):
             part = other[at : at + 2000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
 
-    def texts(self, texts: list[str]) -> list[bytes]:
-        split = [self._words(t) for t in texts]
-        used = set()
-        for s in split:
-            used.update(s)
+    def texts(self, column: pa.Array) -> list[bytes]:
+        words, first = stretches(column)
+        coded = words.dictionary_encode()
+        used = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > MEMORY:  # keep what is in use
-            self.known = {w: self.known[w] for w in used | {""} if w in self.known}
+            self.known = {w: self.known[w] for w in used if w in self.known}
         known = self.known
         self._learn([w for w in used if w not in known])
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        ids = pa.array(list(map(known.__getitem__, used)), pa.large_binary()).take(coded.indices)
+        buf = ids.buffers()
+        if not len(ids) or buf[2] is None:
+            return [b""] * len(column)
+        at = np.frombuffer(buf[1], np.int64)[first + ids.offset].tolist()
+        raw = memoryview(buf[2])
+        return [bytes(raw[s:e]) for s, e in pairwise(at)]
+
+
+def blocks(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with about ``BLOCK`` bytes of text (second column)."""
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column(1)), 0)), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(size // BLOCK)) + 1
+    for s, e in pairwise([0, *cuts.tolist(), b.num_rows]):
+        if e > s:
+            yield b.slice(s, e - s)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -123,10 +167,9 @@ def encode_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_
         encoder, task = _ENCODERS[vocab_path], TaskContext.get().partitionId()
         seen = [0] * (max_tokens + 1)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for part in blocks(b):
                 rows: list[tuple[int, int, int, int, int, int]] = []
-                for i, ids in enumerate(encoder.texts([t or "" for t in part.column(1).to_pylist()])):
+                for i, ids in enumerate(encoder.texts(part.column(1))):
                     ids += tail
                     for k, s in enumerate(range(0, len(ids), width)):
                         piece = ids[s : s + width]
